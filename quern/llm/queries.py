@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from quern.llm import language_id, mixing, token_counts, url_filter
+from quern.llm import decontaminate, embedding_dedup, hmm_lm, language_id, minhash, mixing, surrogates, token_counts, url_filter
 
 QUERIES = {
+    "op1_hmm_lm": hmm_lm.op1_hmm_lm,
+    "op3_surrogates": surrogates.op3_surrogates,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_url_rules": url_filter.op5_url_rules,
     "op6_token_counts": token_counts.op6_token_counts,
     "op7_systematic_mix": mixing.op7_systematic_mix,
+    "op8_embedding_neardup": embedding_dedup.op8_embedding_neardup,
     "op9_language_id": language_id.op9_language_id,
+    "op10_minhash_neardup": minhash.op10_minhash_neardup,
 }
 
 ORACLE = {
+    "op4_decontaminate": decontaminate.SQL,
     "op5_url_rules": url_filter.SQL,
     "op7_systematic_mix": mixing.SQL,
+    "op8_embedding_neardup": embedding_dedup.SQL,
+    "op10_minhash_neardup": minhash.SQL,
 }
