@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from quern.llm import decontaminate, embedding_dedup, hmm_lm, language_id, minhash, mixing, surrogates, token_counts, url_filter
+from quern.llm import decontaminate, embedding_dedup, hmm_lm, language_id, minhash, mixing, quality, surrogates, token_counts, url_filter
 
 QUERIES = {
     "op1_hmm_lm": hmm_lm.op1_hmm_lm,
+    "op2_quality_fm": quality.op2_quality_fm,
     "op3_surrogates": surrogates.op3_surrogates,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_url_rules": url_filter.op5_url_rules,
