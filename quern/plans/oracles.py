@@ -163,7 +163,7 @@ on_cands("cand_evidence_scores", "SELECT s1_id, cand_id, score FROM scored")
 on_cands("cand_evidence_topk", "SELECT s1_id, cand_id, score, evidence_rank FROM cands")
 on_cands("cand_v2_scores", "SELECT s1_id, cand_id, score FROM scored", chain=_COMPOSITE)
 on_cands("cand_v2_topk", "SELECT s1_id, cand_id, score, evidence_rank FROM cands", chain=_COMPOSITE)
-on_cands("cand_evidence_reference_caps", "SELECT s1_id, cand_id, score FROM scored", chain=_candidates(PROFILES["evidence"]))
+on_cands("cand_evidence_full_caps", "SELECT s1_id, cand_id, score FROM scored", chain=_candidates(PROFILES["evidence"]))
 on_cands("cand_id_rank", "SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS candidate_rank, count(*) OVER (PARTITION BY s1_id) AS total_candidates FROM cands")
 on_cands("cand_static_cap", "SELECT s1_id, cand_id FROM cands QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) <= 4")
 _PER = "per AS (SELECT s.entity_id, count(c.cand_id) AS n FROM fx_source1 s LEFT JOIN {0} c ON c.s1_id = s.entity_id GROUP BY s.entity_id)"

@@ -65,7 +65,7 @@ query(lambda x: x.scored, "cand_evidence_scores")
 query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_evidence_topk")
 query(lambda x: x.scored, "cand_v2_scores", "fixture_composite")
 query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_v2_topk", "fixture_composite")
-query(lambda x: blocking.scored(x.s1, x.pool, x.profile), "cand_evidence_reference_caps", "evidence")
+query(lambda x: blocking.scored(x.s1, x.pool, x.profile), "cand_evidence_full_caps", "evidence")
 query(lambda x: blocking.with_ranks(x.candidates).select("s1_id", "cand_id", F.col("candidate_rank").cast("long").alias("candidate_rank"), "total_candidates"), "cand_id_rank")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "id")), "cand_static_cap")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "hash")), "cand_unranked_cap")
