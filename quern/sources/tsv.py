@@ -98,3 +98,17 @@ def markdown(df: DataFrame) -> str:
     rows = df.collect()
     out = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns)]
     return "\n".join(out + ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows])
+
+
+def file_status(spark: SparkSession, paths: list[str], schema: T.StructType = ENTITY) -> DataFrame:
+    """(path, found, n_bytes, parsable) of a list of entity files: the header must name the schema's columns."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    rows = []
+    for p in paths:  # a few metadata calls and one line of each file
+        at = spark._jvm.org.apache.hadoop.fs.Path(p)
+        fs = at.getFileSystem(conf)
+        found = fs.exists(at)
+        n = fs.getContentSummary(at).getLength() if found else 0
+        first = spark.read.text(p).head(1) if n else []
+        rows.append((p, found, n, bool(first) and first[0]["value"].split("\t") == schema.fieldNames()))
+    return spark.createDataFrame(rows, "path string, found boolean, n_bytes long, parsable boolean")

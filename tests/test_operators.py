@@ -222,3 +222,11 @@ def test_stream_scoring(spark, tmp_path):
     assert score_files(*args) == 0
     got = {(r["s1_id"], r["cand_id"]) for r in spark.read.parquet(f"file://{tmp_path}/out").collect()}
     assert got == {("S1-1", "S2-2"), ("S1-2", "S2-1")}
+
+
+def test_file_status(spark, tmp_path):
+    (tmp_path / "a.tsv").write_text("entity_id\tbusiness_name\tbusiness_address\tcountry\nS1-1\ta\tb\tc\n")
+    (tmp_path / "b.tsv").write_text("")
+    (tmp_path / "c.tsv").write_text("id,name\n")
+    rows = tsv.file_status(spark, [f"file://{tmp_path}/{n}.tsv" for n in "abcd"]).collect()
+    assert [(r["found"], r["n_bytes"] > 0, r["parsable"]) for r in rows] == [(True, True, True), (True, False, False), (True, True, False), (False, False, False)]
