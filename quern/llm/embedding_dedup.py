@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.llm.common import materialize, table
-from quern.llm.components import components
+from quern.llm.components import components, roots
 
 COSINE = 0.98
 EPSILON = 6.0  # of the confidence bound; the chance of a wrong rejection is below 1e-7
@@ -120,20 +120,6 @@ def link_block(vec: np.ndarray, keys: np.ndarray, band: int, left: np.ndarray, r
     return i, j
 
 
-def roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """The least position of each position's component under the links."""
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[i], root[j])
-        now = root.copy()
-        np.minimum.at(now, i, least)
-        np.minimum.at(now, j, least)
-        now = now[now]
-        if np.array_equal(now, root):
-            return root
-        root = now
-
-
 def _linked(cosine: float):
     def run(found: pa.Table) -> pa.Table:
         side = np.asarray(found.column("side"))

@@ -6,9 +6,10 @@
    collisions, estimates the similarity, and pairs whose estimate is far below the threshold go.
 3. First each class is compared with the least member of its buckets only (no pairs within a group), confirmed on the
    full sets, and linked classes are merged. Buckets that still hold several components are then compared in blocks of
-   at most BLOCK by BLOCK classes: a block yields, for each two components, the best pairs not yet tried. That
-   repeats, with more pairs each time, until every candidate pair is either confirmed, refuted, or within one
-   component. So links are complete for all candidates, while large groups yield few pairs.
+   at most BLOCK by BLOCK classes, twice: signatures tell which members have a candidate in another component, and of those
+   members the full sets are brought together, all their candidate pairs decided exactly, and only a link per pair of
+   components that meet is handed on. So links are complete for all candidates, while a group of any size yields rows in
+   proportion to its members.
 
 At 0.8, bands of 5 among 160 minima miss a pair with probability 3e-6.
 
@@ -26,13 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import discard, materialize, table
-from quern.llm.components import components
+from quern.llm.common import discard, free_name, materialize, table
+from quern.llm.components import components, roots
 
 PERMS, ROWS, BITS = 160, 5, 4
 BANDS = PERMS // ROWS
 SLACK = 0.18  # below the threshold, over five standard deviations of the estimate
-BLOCK = 1024
+BLOCK = 2048  # a comparison of two blocks takes about 100 MB
+MANY = 5000  # candidate pairs of a block pair beyond which all its intersections are taken at once
 BROADCAST_IDS = 1_000_000  # 8 MB
 LAST = (1 << 63) - 1  # stands for a null id
 
@@ -137,53 +139,91 @@ def similarity(a: Column, b: Column) -> Column:
 
 def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The same for all pairs of two blocks of signatures."""
-    unequal = np.zeros((len(a), len(b)), np.uint16)
+    unequal = np.zeros((len(a), len(b)), np.uint8)  # PERMS is below 256
     for i in range(a.shape[1]):
         z = a[:, None, i] ^ b[None, :, i]
         z |= z >> np.uint64(2)
         z |= z >> np.uint64(1)
         unequal += np.bitwise_count(z & np.uint64(_LOW))
     chance = 1.0 / (1 << BITS)
-    return ((1 - unequal / PERMS) - chance) / (1 - chance)
+    return ((1 - unequal / np.float32(PERMS)) - np.float32(chance)) / np.float32(1 - chance)
 
 
-def _block_pairs(threshold: float, most: int):
-    """Of the members of two blocks of a bucket: for each two components, the `most` best pairs not yet tried."""
+def _candidates(found: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions (i, j) of the pairs of two blocks of a bucket that may be similar and lie in two components, the likeliest first."""
+    side, comp, n = (np.asarray(found.column(c)) for c in ("side", "comp", "n"))
+    sig = np.asarray(found.column("sig").combine_chunks().flatten()).view(np.uint64).reshape(len(n), -1)
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    est = _similar(sig[left], sig[right])
+    nl, nr = n[left][:, None].astype(float), n[right][None, :].astype(float)
+    ok = (est >= threshold - SLACK) & (np.minimum(nl, nr) >= threshold * np.maximum(nl, nr) - 1e-9) & (comp[left][:, None] != comp[right][None, :])
+    if (side == 2).all():
+        ok = np.triu(ok)
+    i, j = np.nonzero(ok)
+    return left[i], right[j], est[i, j]
+
+
+def _contested(threshold: float):
+    """The members of a block pair that have a candidate in another component."""
+
+    def run(found: pa.Table) -> pa.Table:
+        i, j, _ = _candidates(found, threshold)
+        at = np.unique(np.concatenate([i, j]))
+        return found.select(["band", "i", "j", "side", "sh"]).take(pa.array(at))
+
+    return run
+
+
+def intersections(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of all sets with each other, by products of 0/1 matrices over a few items at a time."""
+    _, item, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(sizes)), sizes)
+    shared = counts[item] > 1
+    column = (np.cumsum(counts > 1) - 1)[item[shared]]
+    member = member[shared]
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], member[order]
+    out = np.zeros((len(sizes), len(sizes)), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        a, b = np.searchsorted(column, [start, start + 2048])
+        part = np.zeros((len(sizes), 2048), np.float32)
+        part[member[a:b], column[a:b] - start] = 1
+        out += part @ part.T
+    return out
+
+
+def _exact_links(threshold: float, percent: int):
+    """All candidate pairs of a block pair are decided on the full sets; a row for each component joined to another."""
 
     def run(found: pa.Table) -> pa.Table:
-        d = found.to_pydict()
-        # the exchange may bring a member several times, once for each of its blocks in this group
-        left = [i for i, s in enumerate(d["side"]) if s in (0, 2)]
-        right = [i for i, s in enumerate(d["side"]) if s in (1, 2)]
-        sig = np.array(d["sig"], np.int64).view(np.uint64)
-        n, comp, sh = np.array(d["n"], float), np.array(d["comp"]), np.array(d["sh"])
-        est = _similar(sig[left], sig[right])
-        nl, nr = n[left][:, None], n[right][None, :]
-        ok = (est >= threshold - SLACK) & (np.minimum(nl, nr) >= threshold * np.maximum(nl, nr) - 1e-9)
-        ok &= comp[left][:, None] != comp[right][None, :]
-        ii, jj = np.nonzero(ok)
-        order = np.argsort(-est[ii, jj], kind="stable")
-        tried = [set(x or ()) for x in d["tried"]]
-        count: dict[tuple[int, int], int] = {}
-        a, b = [], []
-        for e in order:
-            i, j = left[ii[e]], right[jj[e]]
-            x, y = int(sh[i]), int(sh[j])
-            if y in tried[i] or x in tried[j]:
-                continue
-            both = (min(comp[i], comp[j]), max(comp[i], comp[j]))
-            if count.get(both, 0) < most:
-                count[both] = count.get(both, 0) + 1
-                a.append(max(x, y))
-                b.append(min(x, y))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        i, j, est = _candidates(found, threshold)
+        n = np.asarray(found.column("n"))
+        items = found.column("items").combine_chunks()
+        flat, sizes = np.asarray(items.flatten()), np.asarray(items.value_lengths(), dtype=np.int64)
+        comps, at = np.unique(np.asarray(found.column("comp")), return_inverse=True)
+        similar = lambda both, a, b: 100 * both >= percent * (n[a] + n[b] - both)
+        if len(i) > MANY:
+            both = intersections(flat, sizes)[i, j].astype(np.int64)
+            link = similar(both, i, j)
+            root = roots(len(comps), at[i[link]], at[j[link]])
+        else:
+            root, starts = np.arange(len(comps)), np.cumsum(sizes) - sizes
+            for e in np.argsort(-est, kind="stable"):
+                a, b = i[e], j[e]
+                ra, rb = root[at[a]], root[at[b]]
+                if ra != rb:
+                    x, y = (flat[starts[k] : starts[k] + sizes[k]] for k in (a, b))
+                    if similar(len(np.intersect1d(x, y, assume_unique=True)), a, b):
+                        root[root == max(ra, rb)] = min(ra, rb)
+        moved = root != np.arange(len(comps))
+        return pa.table({"a": pa.array(comps[moved]), "b": pa.array(comps[root[moved]])})
 
     return run
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of docs; links: 100 * intersection >= percent * union."""
-    spark, threshold = docs.sparkSession, percent / 100
+    threshold = percent / 100
     slim = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"))
     feats = materialize(slim.mapInArrow(_sketches(k), _SKETCH), "minhash-sketches")
     classes = materialize(feats.filter("n > 0").groupBy("sh").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "minhash-classes")
@@ -192,52 +232,70 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     members = materialize(banded.join(several, "band"), "minhash-members")
     sig = classes.select("sh", "n", "sig")
     as_ = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
-    stars = members.filter("sh <> pivot").select(F.col("sh").alias("a"), F.col("pivot").alias("b")).distinct()
+    stars = members.filter("sh <> pivot").groupBy(F.col("sh").alias("a"), F.col("pivot").alias("b")).agg((F.min("size") == 2).alias("alone"))
     stars = stars.join(as_(sig, "a_"), F.col("a") == F.col("a_sh")).join(as_(sig, "b_"), F.col("b") == F.col("b_sh"))
     est = similarity(F.col("a_sig"), F.col("b_sig"))
     stars = stars.filter(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent).withColumn("est", est).filter(F.col("est") >= threshold - SLACK)
-    pairs = stars.groupBy("a").agg(F.max(F.struct("est", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    links, tried, sets, most = None, None, None, 4
-    comp = None
-    while True:
-        pairs = materialize(pairs.distinct(), "minhash-pairs")
-        if pairs.isEmpty():
-            break
-        sets = _full_sets(slim, classes, pairs, sets, k)
-        good = _confirmed(pairs, sets, classes, percent)
-        good = materialize(good, "minhash-links")
-        links = good if links is None else links.union(good)
-        tried = pairs if tried is None else tried.union(pairs)
-        comp = materialize(components(links, "minhash-components"), "minhash-component")
-        pairs = _unresolved(members, sig, comp, tried, threshold, most)
-        most *= 4
-    final = classes.select("sh", "rep")
-    if comp is not None:
-        final = final.join(comp, final["sh"] == comp["node"], "left").select("sh", "rep", F.coalesce("component", "sh").alias("component"))
-        least = final.groupBy("component").agg(F.min("rep").alias("component_id"))
-        final = final.join(least, "component").select("sh", "component_id")
-    else:
-        final = final.select("sh", F.col("rep").alias("component_id"))
+    # every pair that is a bucket by itself, and of the others each class's best: a class has at most BANDS of them
+    found = stars.groupBy("a").agg(F.max(F.struct("est", "b"))["b"].alias("best"), F.collect_list(F.when(F.col("alone"), F.col("b"))).alias("own"))
+    pairs = found.select("a", F.explode(F.array_distinct(F.concat(F.array("best"), "own"))).alias("b"))
+    pairs = materialize(pairs.distinct(), "minhash-pairs")
+    sets = _full_sets(slim, classes, pairs.select(F.col("a").alias("sh")).union(pairs.select(F.col("b").alias("sh"))), None, k)
+    comp = _written(components(_confirmed(pairs, sets, percent), "minhash-components"), "minhash-component")
+    blocks = _open_blocks(members.filter("size > 2"), sig, comp)
+    contested = materialize(blocks.groupBy("band", "i", "j").applyInArrow(_contested(threshold), "band long, i long, j long, side int, sh long"), "minhash-contested")
+    more = _full_sets(slim, classes, contested.select("sh"), sets, k)
+    rows = _with_component(contested, comp).join(sig, "sh").join(sets.union(more), "sh")
+    links = rows.select("band", "i", "j", "side", "comp", "n", "sig", "items").groupBy("band", "i", "j").applyInArrow(_exact_links(threshold, percent), "a long, b long")
+    before, comp = comp, _merged(comp, links)
+    scratch = [members, pairs, sets, contested, more, before]
+    for done in scratch:  # the result reads the sketches, the classes and their components only
+        discard(done)
+    final = _with_component(classes.select("sh", "rep"), comp)
+    least = final.groupBy("comp").agg(F.min("rep").alias("component_id"))
+    final = final.join(least, "comp").select("sh", "component_id")
     out = feats.select("id", "n", "sh").join(final, (feats["sh"] == final["sh"]) & (feats["n"] > 0), "left")
     real = lambda c: F.when(c != LAST, c)
     component = F.coalesce(F.col("component_id"), F.col("id"))
     return out.select(real(F.col("id")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"), (F.col("id") == component).alias("kept"))
 
 
-def _full_sets(slim: DataFrame, classes: DataFrame, pairs: DataFrame, known: DataFrame | None, k: int) -> DataFrame:
-    """The full sets of the classes in pairs, made again from the text of one document of each."""
-    wanted = pairs.select(F.col("a").alias("sh")).union(pairs.select(F.col("b").alias("sh"))).distinct()
+def _with_component(rows: DataFrame, comp: DataFrame) -> DataFrame:
+    """rows (sh, ...) with comp; a class without a link is its own."""
+    return rows.join(comp.withColumnRenamed("node", "sh"), "sh", "left").withColumn("comp", F.coalesce("component", "sh")).drop("component")
+
+
+def _merged(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after links between components."""
+    new = _written(components(links, "minhash-components"), "minhash-merge")
+    to = new.select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    kept = comp.join(to, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    out = materialize(kept.union(new.join(comp, "node", "left_anti").select("node", "component")), "minhash-component")
+    discard(new)
+    return out
+
+
+def _written(found: DataFrame, name: str) -> DataFrame:
+    """The components as one table, without the last step's links."""
+    out = materialize(found, name)
+    discard(found)
+    return out
+
+
+def _full_sets(slim: DataFrame, classes: DataFrame, wanted: DataFrame, known: DataFrame | None, k: int) -> DataFrame:
+    """The full sets of the wanted classes (sh) that are not known yet, made again from the text of one document of each."""
+    wanted = wanted.distinct()
     if known is not None:
         wanted = wanted.join(known, "sh", "left_anti")
     reps = materialize(classes.join(wanted, "sh", "left_semi").select(F.col("rep").alias("id")).distinct(), "minhash-reps")
     small = reps.count() <= BROADCAST_IDS
     texts = slim.join(F.broadcast(reps) if small else reps, "id", "left_semi").select("text")
-    made = texts.mapInArrow(_sets(k), "sh long, items array<long>").dropDuplicates(["sh"])
-    made = materialize(made, "minhash-sets")
-    return made if known is None else known.union(made)
+    out = materialize(texts.mapInArrow(_sets(k), "sh long, items array<long>").dropDuplicates(["sh"]), "minhash-sets")
+    discard(reps)
+    return out
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     a = sets.select(F.col("sh").alias("a"), F.col("items").alias("x"))
     b = sets.select(F.col("sh").alias("b"), F.col("items").alias("y"))
     both = F.size(F.array_intersect("x", "y")).cast("long")
@@ -245,25 +303,27 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, classes: DataFrame, percent: i
     return checked.filter(F.col("both") * 100 >= (F.col("all") - F.col("both")) * percent).select("a", "b")
 
 
-def _unresolved(members: DataFrame, sig: DataFrame, comp: DataFrame, tried: DataFrame, threshold: float, most: int) -> DataFrame:
-    """More pairs from the buckets whose members still lie in several components."""
-    now = members.join(comp, members["sh"] == comp["node"], "left").select("band", "sh", "size", F.coalesce("component", "sh").alias("comp"))
+def _open_blocks(members: DataFrame, sig: DataFrame, comp: DataFrame) -> DataFrame:
+    """The buckets whose members lie in several components, dealt into pairs of blocks."""
+    now = _with_component(members.select("band", "sh", "size"), comp)
     open_ = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
-    had = tried.select(F.col("a").alias("sh"), "b").groupBy("sh").agg(F.collect_set("b").alias("tried"))
-    rows = now.join(open_, "band", "left_semi").join(sig, "sh").join(had, "sh", "left")
+    rows = now.join(open_, "band", "left_semi").join(sig, "sh")
     blocks = F.ceil(F.col("size") / BLOCK)
     own = F.pmod(F.xxhash64("sh", F.lit(7)), blocks)
     # block i meets block j once for i <= j: a row goes to (own, j) for j >= own and to (i, own) for i <= own
     meets = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j"), F.when(o == own, 2).when(o > own, 0).otherwise(1).alias("side")))
-    rows = rows.withColumn("meet", F.explode(meets)).select("band", F.col("meet.i").alias("i"), F.col("meet.j").alias("j"), F.col("meet.side").alias("side"), "sh", "comp", "n", "sig", "tried")
-    return rows.groupBy("band", "i", "j").applyInArrow(_block_pairs(threshold, most), "a long, b long")
+    columns, zero = ["band", "meet.i", "meet.j", "meet.side", "sh", "comp", "n", "sig"], F.lit(0).cast("long")
+    whole = rows.filter(F.col("size") <= BLOCK).withColumn("meet", F.struct(zero.alias("i"), zero.alias("j"), F.lit(2).alias("side"))).select(*columns)
+    return whole.union(rows.filter(F.col("size") > BLOCK).withColumn("meet", F.explode(meets)).select(*columns))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group: that of the least id; of rows repeated with that id, one."""
-    found = near_duplicates(docs, key, text, k, percent).filter("kept").select(F.col(key).alias("_kept"), F.lit(True).alias("_in")).distinct()
-    joined = docs.join(found, docs[key].eqNullSafe(found["_kept"]), "left_semi")
-    return joined.dropDuplicates([key])
+    """One document of each group: that of the least id; of rows repeated with that id, one for each text."""
+    id_, hash_ = free_name(docs, "_id", "_hash")
+    real = F.coalesce(F.col(key).cast("long"), F.lit(LAST))
+    kept = near_duplicates(docs, key, text, k, percent).filter("kept").select(real.alias(id_)).distinct()
+    own = docs.withColumns({id_: real, hash_: F.xxhash64(text)})
+    return own.join(kept, id_, "left_semi").dropDuplicates([id_, hash_]).drop(id_, hash_)
 
 
 def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

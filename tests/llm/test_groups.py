@@ -16,6 +16,7 @@ from quern.llm import minhash as mh
 from quern.llm import mixing as mx
 from quern.llm import queries
 from quern.llm import surrogates as sg
+from quern.llm import components as cc
 from quern.llm.components import components
 
 
@@ -36,7 +37,9 @@ def test_against_oracle(spark, sf, oracle, same, name):
     same(queries.QUERIES[name](spark, sf).toPandas(), oracle(queries.ORACLE[name]))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("task", [500_000, 25])
+def test_components(spark, monkeypatch, task):
+    monkeypatch.setattr(cc, "TASK_LINKS", task)
     rnd = random.Random(2)
     links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(220)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -62,9 +65,10 @@ def family(rnd, n, words, edits):
     return out
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "many"), [(1024, 5000), (8, 0), (20, 10)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, block, many):
     monkeypatch.setattr(mh, "BLOCK", block)
+    monkeypatch.setattr(mh, "MANY", many)
     rnd = random.Random(11)
     texts = family(rnd, 60, 60, 9) + family(rnd, 40, 200, 40) + family(rnd, 12, 5, 1) + ["one"] * 5 + ["One", "two", "a b", "b a", None, "", "  "] + [" ".join(f"u{rnd.randrange(9999)}" for _ in range(50)) for _ in range(20)]
     rnd.shuffle(texts)
@@ -91,10 +95,17 @@ def test_near_duplicate_edges(spark):
     assert mh.near_duplicates(empty(spark)).count() == 0 and mh.drop_near_duplicates(empty(spark)).count() == 0
 
 
+def test_intersections():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(0, 4000))) for _ in range(30)]
+    got = mh.intersections(np.concatenate(sets), np.array([len(x) for x in sets]))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            assert i == j or got[i, j] == len(np.intersect1d(a, b))
+
+
 def test_bit_estimate_is_close():
-    rnd = random.Random(5)
     a, b = (mh.shingles(" ".join(t), 1) for t in ([f"w{i}" for i in range(400)], [f"w{i}" for i in range(100, 500)]))
-    del rnd
     est = mh._similar(np.array([mh.sketch(a)[2]]), np.array([mh.sketch(b)[2]]))[0, 0]
     assert abs(est - 300 / 500) < 0.18
 
@@ -328,3 +339,17 @@ def test_pipeline_on_nothing(spark, tmp_path):
     assert cp.run(spark, f"file://{tmp_path}").count() == 0
     awkward(spark).write.mode("overwrite").parquet(f"file://{tmp_path}/documents.parquet")
     assert cp.run(spark, f"file://{tmp_path}").count() >= 0
+
+
+def test_neighbouring_entities():
+    """Numbers that stand side by side are found each by itself."""
+    cases = {
+        "x 4665471787434696 86.227.24.100 y": ["4665471787434696", "86.227.24.100"],
+        "+1 (283) 555-6500 15.89.138.121": ["+1 (283) 555-6500", "15.89.138.121"],
+        "+1 (269) 555-3296 4524132264652876 and": ["+1 (269) 555-3296", "4524132264652876"],
+        "DE89 3704 0044 0532 0130 00 AND MORE": ["DE89 3704 0044 0532 0130 00"],
+        "4111-1111-1111-1111 3782 822463 10005": ["4111-1111-1111-1111", "3782 822463 10005"],
+        "an id 1059743005344 of 9566113270 and 1.2.3.4.5": [],
+    }
+    for text, want in cases.items():
+        assert [text[a:b] for a, b, _ in sg.detect(text)] == want
