@@ -33,8 +33,7 @@ def n_words(text: str = "text") -> Column:
 
 def _offset(source: Column, seed: str) -> Column:
     """One offset in [0, 1) for each source, a multiple of 2**-20, so that adding it stays exact."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))))
-    return F.conv(F.substring(digest, 1, 5), 16, 10).cast("double") / F.lit(float(16**5))
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), source)), 1, 5), 16, 10).cast("double") / F.lit(float(16**5))
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: float = MOST) -> DataFrame:
@@ -44,34 +43,36 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, most: float = MO
     weight. In the order of size / weight the capped sources come first, so running sums over the sources
     (one row each) give the level at which the rest is shared.
     """
-    by_name = W.orderBy(F.col("_source").isNull(), "_source")
+    by_name = W.orderBy("_source")
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
     ranked = sizes.withColumn("_w", w).withColumn("_cap", F.col("source_size") * F.lit(float(most)))
-    before = W.orderBy(F.col("_cap") / F.col("_w"), F.col("_source").isNull(), "_source").rowsBetween(W.unboundedPreceding, -1)
+    before = W.orderBy(F.col("_cap") / F.col("_w"), "_source").rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy()
     total, all_w = F.sum("source_size").over(everything), F.sum("_w").over(everything)
     left = total - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))
     level = left / (all_w - F.coalesce(F.sum("_w").over(before), F.lit(0.0)))
     levels = ranked.withColumn("_level", level).withColumn("_order", F.col("_cap") / F.col("_w"))
-    open_ = F.when(F.col("_cap") > F.col("_w") * F.col("_level"), F.struct("_order", F.col("_source").isNull().alias("x"), F.col("_source").alias("y"), F.col("_level").alias("level")))
+    open_ = F.when(F.col("_cap") > F.col("_w") * F.col("_level"), F.struct("_order", "_source", F.col("_level").alias("level")))
     # the first source in that order which its share does not fill: its level holds for all that are not full
     first = F.min(open_).over(everything)["level"]
     return levels.select("_source", "source_size", F.least(F.col("_cap"), F.coalesce(F.col("_w") * first, F.col("_cap"))).alias("target"))
 
 
-def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: float = MOST, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, most: float = MOST, seed: str = "mix", size: Column | None = None) -> DataFrame:
     """docs with size, source_size, target, expected (copies), copies and taken (copies * size).
 
-    Only DataFrame operations; two shuffles: the table's rows by (source, size class, bucket), and the
-    counts of those groups.
+    Only DataFrame operations. The rows are shuffled once, by (source, size class, bucket), for the running count, and meet the
+    counts of those groups in the same partitions. size: instead of the words of the text, so that the text need not be in docs.
     """
-    made = {"size", "source_size", "target", "expected", "copies", "taken", "_source", "_class", "_bucket", "_row", "_count", "_before"}
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-    f = lambda c: F.col("_row")[c]
-    size = F.coalesce(F.regexp_count(f(text), F.lit(WORD)), F.lit(0)).cast("long")
-    digits = F.col("size").cast("string")
-    rows = inner.select("_row", f(source).alias("_source"), f(key).alias("_key"), size.alias("size"))
-    rows = rows.withColumns({"_class": F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int"), "_bucket": F.substring(F.md5(F.coalesce(F.col("_key").cast("string"), F.lit(""))), 1, BUCKETS)})
+    computed = ["size", "source_size", "target", "expected", "copies", "taken"]
+    inner = docs.withColumn("_size", n_words(text) if size is None else size)
+    inner = inner.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("_size").alias("size"))
+    digits, f = F.col("size").cast("string"), F.col("_row")
+    # sorts as the source by code point, null last, and is never null: joins and windows then share one partitioning
+    rows = inner.select("_row", F.coalesce(F.concat(F.lit("0"), f[source]), F.lit("1")).alias("_source"), f[key].alias("_key"), "size")
+    # never null to Catalyst either: else the join's check for nulls would count the words once more
+    class_ = F.coalesce(F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int"), F.lit(0))
+    rows = rows.withColumns({"_class": class_, "_bucket": F.substring(F.md5(F.coalesce(F.col("_key").cast("string"), F.lit(""))), 1, BUCKETS)})
     group = ["_source", "_class", "_bucket"]
     groups = materialize(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_count"), F.sum("size").alias("_sum")), "mix-groups")
     classes = groups.groupBy("_source", "_class").agg(F.sum("_count").alias("_n"), F.sum("_sum").alias("_sum"))
@@ -79,18 +80,14 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     starts = classes.select("_source", "_class", F.coalesce(F.sum("_n").over(up_to().orderBy("_class")), F.lit(0)).alias("_start"))
     per_source = targets(classes.groupBy("_source").agg(F.sum("_sum").alias("source_size")), weights, most)
     per_source = per_source.withColumn("expected", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
-    same = lambda a, b, keys: [a[k].eqNullSafe(b[k]) for k in keys]
     inside = groups.select(*group, F.coalesce(F.sum("_count").over(up_to("_class").orderBy("_bucket")), F.lit(0)).alias("_in"))
-    before = inside.join(starts, same(inside, starts, group[:2])).select(*[inside[k] for k in group], (F.col("_start") + F.col("_in")).alias("_before"))
-    before = before.join(per_source, same(before, per_source, group[:1])).select(*[before[k] for k in group], "_before", "source_size", "target", "expected")
-    order = W.partitionBy(*group).orderBy("size", "_key")
-    placed = rows.withColumn("_nth", F.row_number().over(order))
-    placed = placed.join(before, same(placed, before, group)).select("_row", placed["_source"], "size", "source_size", "target", "expected", (F.col("_before") + F.col("_nth")).alias("_nth"))
+    before = inside.join(starts, group[:2]).join(per_source, "_source").select(*group, (F.col("_start") + F.col("_in")).alias("_before"), "source_size", "target", "expected")
+    placed = rows.withColumn("_nth", F.row_number().over(W.partitionBy(*group).orderBy("size", "_key")))
+    placed = placed.join(before, group).withColumn("_nth", F.col("_before") + F.col("_nth"))
     u = _offset(F.col("_source"), seed)
     copies = F.floor(F.col("expected") * F.col("_nth") + u) - F.floor(F.col("expected") * (F.col("_nth") - 1) + u)
     out = placed.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    computed = ["size", "source_size", "target", "expected", "copies", "taken"]
-    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in made], *computed)
+    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in computed], *computed)
 
 
 def emit(mixed: DataFrame) -> DataFrame:
@@ -99,8 +96,8 @@ def emit(mixed: DataFrame) -> DataFrame:
 
 
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words().alias("n"))
+    return mix(docs, size=F.col("n")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 #: DuckDB: documents stands for the relation that is mixed.
@@ -115,7 +112,7 @@ lev AS (SELECT level AS first_level FROM src2 WHERE cap > w * level ORDER BY cap
 src AS (SELECT source, source_size, least(cap, coalesce(w * (SELECT first_level FROM lev), cap)) AS target FROM src2),
 placed AS (SELECT r.*, s.source_size, s.target, CASE WHEN s.source_size > 0 THEN s.target / s.source_size ELSE 0 END AS expected,
     row_number() OVER (PARTITION BY r.source ORDER BY class_, bucket_, size, doc_id) AS nth,
-    ('0x' || substr(md5('mix:' || coalesce('s' || r.source, 'n')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS u
+    ('0x' || substr(md5('mix:' || coalesce('0' || r.source, '1')), 1, 5))::BIGINT / 1048576.0::DOUBLE AS u
   FROM rows1 r JOIN src s ON r.source IS NOT DISTINCT FROM s.source),
 mixed AS (SELECT *, (floor(expected * nth + u) - floor(expected * (nth - 1) + u))::BIGINT AS copies FROM placed)"""
 
