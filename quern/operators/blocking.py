@@ -11,26 +11,32 @@ from quern.schema import Blocking
 
 
 def _hits(queries: DataFrame, pool: DataFrame, profile: Blocking, kinds: tuple[str, ...], empty: bool) -> DataFrame:
-    """(s1_id, cand_id, weight) for each key in common."""
-    q = keys(queries, kinds, profile.min_num_len, query=True, allow_empty_country=empty).withColumnRenamed("entity_id", "s1_id")
-    p = capped(keys(pool, kinds, profile.min_num_len, allow_empty_country=empty).distinct(), profile).withColumnRenamed("entity_id", "cand_id")
+    """(s1_id, cand_id, weight, same_name) for each key in common. Names travel with the keys as 64-bit hashes, so that
+    pairs need not meet the entities again."""
+    name = F.when(F.col("business_name_clean") != "", F.xxhash64("business_name_clean"))
+    q = keys(queries, kinds, profile.min_num_len, query=True, allow_empty_country=empty, carry=(name.alias("_a"),)).withColumnRenamed("entity_id", "s1_id")
+    p = keys(pool, kinds, profile.min_num_len, allow_empty_country=empty, carry=(name.alias("_b"),))
+    p = capped(p, profile).withColumnRenamed("entity_id", "cand_id")
     weight = F.coalesce(*[F.when(F.col("kind") == k, F.lit(float(profile.weights[k]))) for k in kinds])
-    return q.join(p, ["kind", "country", "key"]).select("s1_id", "cand_id", weight.alias("weight"))
+    same = F.coalesce(F.col("_a") == F.col("_b"), F.lit(False))
+    return q.join(p, ["kind", "country", "key"]).select("s1_id", "cand_id", weight.alias("weight"), same.alias("same_name"))
 
 
 def scored(queries: DataFrame, pool: DataFrame, profile: Blocking, allow_empty_country: bool = True) -> DataFrame:
     """(s1_id, cand_id, score): the sum of weights; queries with fewer than sparse_below candidates also probe prefixes;
-    candidates with the same non-empty clean name gain the bonus."""
-    first = _hits(queries, pool, profile, profile.kinds, allow_empty_country).groupBy("s1_id", "cand_id").agg(F.sum("weight").alias("score"))
-    counts = first.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n"))
-    enough = counts.filter(F.col("n") >= profile.sparse_below).select(F.col("s1_id").alias("entity_id"))
+    candidates with the same non-empty clean name gain the bonus.
+
+    Hits are dealt out by query once: sums per pair, counts per query and later ranks per query all stay in place.
+    A query's hits are bounded by its tokens times the caps, so no query is hot.
+    """
+    pool = pool.dropDuplicates(["entity_id"])
+    by_pair = lambda df: df.groupBy("s1_id", "cand_id").agg(F.sum("weight").alias("weight"), F.max("same_name").alias("same_name"))
+    first = by_pair(_hits(queries, pool, profile, profile.kinds, allow_empty_country).repartition("s1_id"))
+    enough = first.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= profile.sparse_below).select(F.col("s1_id").alias("entity_id"))
     sparse = queries.join(enough, "entity_id", "left_anti")
-    more = _hits(sparse, pool, profile, ("prefix",), allow_empty_country).groupBy("s1_id", "cand_id").agg(F.sum("weight").alias("score"))
-    both = first.unionByName(more).groupBy("s1_id", "cand_id").agg(F.sum("score").alias("score"))
-    name = lambda df, i, n: df.select(F.col("entity_id").alias(i), F.col("business_name_clean").alias(n))
-    named = both.join(name(queries, "s1_id", "_a"), "s1_id").join(name(pool, "cand_id", "_b").dropDuplicates(["cand_id"]), "cand_id")
-    bonus = F.when((F.col("_a") != "") & (F.col("_a") == F.col("_b")), profile.exact_bonus).otherwise(0.0)
-    return named.select("s1_id", "cand_id", (F.col("score") + bonus).alias("score"))
+    more = _hits(sparse, pool, profile, ("prefix",), allow_empty_country)
+    both = by_pair(first.unionByName(more).repartition("s1_id"))
+    return both.select("s1_id", "cand_id", (F.col("weight") + F.when(F.col("same_name"), profile.exact_bonus).otherwise(0.0)).alias("score"))
 
 
 def union_candidates(queries: DataFrame, pool: DataFrame, profile: Blocking) -> DataFrame:

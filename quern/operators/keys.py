@@ -42,8 +42,8 @@ def key_arrays(min_num_len: int = 1, pair_window: int = 2, top_tokens: int = 3,
     }
 
 
-def keys(clean: DataFrame, kinds: tuple[str, ...], min_num_len: int = 1, query: bool = False, allow_empty_country: bool = True, **how: int) -> DataFrame:
-    """One explode for all kinds, so the entities are scanned once."""
+def keys(clean: DataFrame, kinds: tuple[str, ...], min_num_len: int = 1, query: bool = False, allow_empty_country: bool = True, carry: tuple[Column, ...] = (), **how: int) -> DataFrame:
+    """One explode for all kinds, so the entities are scanned once. carry: further columns of the entity."""
     arrays = key_arrays(min_num_len, query=query, **how)
 
     def tagged(kind: str) -> Column:
@@ -51,7 +51,8 @@ def keys(clean: DataFrame, kinds: tuple[str, ...], min_num_len: int = 1, query:
 
     all_ = F.concat(*map(tagged, kinds))
     rows = clean if allow_empty_country else clean.filter("country_clean <> ''")
-    return rows.select("entity_id", F.col("country_clean").alias("country"), F.explode(all_).alias("x")).select("entity_id", "country", "x.kind", "x.key")
+    exploded = rows.select("entity_id", F.col("country_clean").alias("country"), *carry, F.explode(all_).alias("x"))
+    return exploded.select(*[c for c in exploded.columns if c != "x"], "x.kind", "x.key")
 
 
 def posting_stats(pool_keys: DataFrame) -> DataFrame:
