@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,15 +49,17 @@ def dictionary(texts: list[str], most: int = DICT_BYTES) -> bytes:
     return (" ".join(reversed(out)) + " ").encode()
 
 
-def train(docs: DataFrame, text: str = "text", lang: str = "lang", per_lang: int = PER_LANG) -> list[tuple[str, bytes]]:
+def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = PER_LANG) -> list[tuple[str, bytes]]:
     """The languages of the labelled rows, the most frequent first, each with its dictionary."""
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}  # a row for each language
     if not counts:
         return []
-    u = F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 20))
+    u = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 20))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 20, 1 + (2 * per_lang << 20) // n))])
-    few = labelled.filter(u < share[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    few = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), u.alias("u")).filter(F.col("u") < share[F.col("lang")])
+    # a task hands on at most that many rows of a language, however often a row is repeated
+    few = few.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("u", F.xxhash64("text")))).filter(F.col("nth") <= 2 * per_lang).select("lang", "text")
 
     def content(key, found):
         texts = sorted(found.column("text").to_pylist(), key=lambda t: (len(t), t))
