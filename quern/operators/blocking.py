@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.operators.keys import capped, keys
 from quern.schema import Blocking
+from quern.storage import materialize
 
 
 def _hits(queries: DataFrame, pool: DataFrame, profile: Blocking, kinds: tuple[str, ...], empty: bool) -> DataFrame:
@@ -26,12 +27,13 @@ def scored(queries: DataFrame, pool: DataFrame, profile: Blocking, allow_empty_c
     """(s1_id, cand_id, score): the sum of weights; queries with fewer than sparse_below candidates also probe prefixes;
     candidates with the same non-empty clean name gain the bonus.
 
-    Hits are dealt out by query once: sums per pair, counts per query and later ranks per query all stay in place.
+    Hits are dealt out by query: sums per pair, counts per query and later ranks per query all stay in place.
     A query's hits are bounded by its tokens times the caps, so no query is hot.
     """
     pool = pool.dropDuplicates(["entity_id"])
     by_pair = lambda df: df.groupBy("s1_id", "cand_id").agg(F.sum("weight").alias("weight"), F.max("same_name").alias("same_name"))
-    first = by_pair(_hits(queries, pool, profile, profile.kinds, allow_empty_country).repartition("s1_id"))
+    # written once, so that the counts per query do not run the key join again
+    first = materialize(by_pair(_hits(queries, pool, profile, profile.kinds, allow_empty_country).repartition("s1_id")), "pairs")
     enough = first.groupBy("s1_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= profile.sparse_below).select(F.col("s1_id").alias("entity_id"))
     sparse = queries.join(enough, "entity_id", "left_anti")
     more = _hits(sparse, pool, profile, ("prefix",), allow_empty_country)
