@@ -43,9 +43,9 @@ _NUMERIC = re.compile(
     |(?P<secret>(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])|(?:(?<=password=)|(?<=password=")|(?<=token\ =\ ")|(?<=token=)|(?<=token=")|(?<=secret=)|(?<=secret=")|(?<=api_key=)|(?<=api_key="))[A-Za-z0-9_\-]{8,})
     |(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:\ ?[A-Z0-9]{4}){2,7}(?:\ ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))
     |(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d))
-    |(?P<phone>(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){2,4}(?!\d)|(?<![\w.])\(\d{3}\)\ \d{3}-\d{4}(?!\d)|(?<![\w.\-])\d{3}-\d{3}-\d{4}(?![\w\-]))
+    |(?P<phone>(?<![\w+])\+1[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]?\d{3}[ .\-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]\d{2,4}){2,4}(?!\d)(?!\.\d)|(?<![\w.])\(\d{3}\)\ \d{3}-\d{4}(?!\d)|(?<![\w.\-])\d{3}-\d{3}-\d{4}(?![\w\-]))
     |(?P<ssn>(?<![\w\-])\d{3}-\d{2}-\d{4}(?![\w\-]))
-    |(?P<card>(?<![\w.])\d(?:[ \-]?\d){12,18}(?![\w]))""",
+    |(?P<card>(?<![\w.])(?:\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d{4}|\d{4}[ \-]\d{6}[ \-]\d{5}|\d{13,19})(?!\w))""",
     re.X,
 )
 _HINT = re.compile(r"[@0-9]|password=|token|secret=|api_key=|A[KS]IA")
@@ -70,11 +70,16 @@ def detect(text: str | None) -> list[tuple[int, int, str]]:
         return []
     found = []
     if _HINT.search(text):
-        for m in _NUMERIC.finditer(text):
-            kind, value = m.lastgroup, m.group()
+        at = 0
+        while m := _NUMERIC.search(text, at):
+            kind, value, at = m.lastgroup, m.group(), m.start() + 1
+            if kind == "iban":  # words in capitals may follow it
+                while " " in value and not iban_ok(value):
+                    value = value.rpartition(" ")[0]
             if kind == "card" and not luhn(re.sub(r"\D", "", value)) or kind == "iban" and not iban_ok(value):
-                continue
-            found.append((m.start(), m.end(), kind))
+                continue  # the search goes on within it
+            at = m.start() + len(value)
+            found.append((m.start(), at, kind))
     if any(t in text for t in _TITLE_HINT):
         for m in _TITLED.finditer(text):
             gender = TITLES[m.group(1)]
