@@ -14,6 +14,7 @@ from quern.plans import fixtures
 from quern.plans.linkage import Linkage
 from quern.schema import POLICIES, PROFILES
 from quern.sources import tsv
+from quern.storage import ship
 
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 GRID = (0.21, 0.31, 0.41, 0.52, 0.62)
@@ -22,7 +23,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(make: Callable[[Linkage], DataFrame], name: str = "", profile: str = "fixture_evidence") -> None:
-    QUERIES[name] = lambda spark, sf_dir: make(Linkage(spark, sf_dir, PROFILES[profile]))
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        out = make(Linkage(spark, sf_dir, PROFILES[profile]))
+        return out.select(*[F.col(c).cast("long").alias(c) if t == "int" and c not in ("label", "bin") else F.col(c) for c, t in out.dtypes])
+
+    QUERIES[name] = run
 
 
 def _plain(pairs: DataFrame) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+import zlib
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,3 +40,19 @@ def discard(df: DataFrame | None) -> None:
     if path:
         at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once a session, so that it need not be installed on the executors."""
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parent
+    if getattr(context, "_quern_shipped", False) or not root.is_dir():  # within an archive it has been sent already
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.writestr(zipfile.ZipInfo(str(p.relative_to(root.parent))), p.read_bytes())
+    path = Path(tempfile.mkdtemp(prefix="quern-package-"), f"quern-{zlib.crc32(data.getvalue()):08x}.zip")
+    path.write_bytes(data.getvalue())
+    context.addPyFile(str(path))
+    context._quern_shipped = True
