@@ -2,52 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.storage import discard, materialize, shared_dir, ship
+
 #: White space that ends a word: space and the characters tab to carriage return.
 #: bytes.split() without arguments splits at exactly these, bytes.lower() lowers A-Z only.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="quern-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a Parquet table in the shared folder and reads it back.
-
-    This cuts the lineage: a lost executor costs at most a re-read of files that all executors see.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/quern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._quern_path = path
-    return out
-
-
-def discard(df: DataFrame | None) -> None:
-    """Deletes a table that materialize() wrote and that nothing reads any more."""
-    path = getattr(df, "_quern_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
-
-
 def fold(key: str, folds: int) -> Column:
     """crc32 of the key as text, modulo folds; a null key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds
@@ -63,3 +32,6 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+__all__ = ["WORD", "discard", "fold", "free_name", "materialize", "shared_dir", "ship", "table"]
