@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import decontaminate, language_id, minhash, mixing, surrogates
-from quern.llm.common import fold, materialize, table
+from quern.llm.common import fold, materialize, ship, table
 
 
 def _as(docs: DataFrame, out: DataFrame) -> DataFrame:
@@ -18,6 +18,7 @@ def _as(docs: DataFrame, out: DataFrame) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship(spark)
     model = language_id.train(docs.filter(fold("doc_id", language_id.FOLDS) != language_id.HELD_OUT))
     return _as(docs, language_id.identify(docs, model).filter("NOT rejected"))
 
