@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import words_of
+from quern.storage import materialize
 
 KEY = ["s1_id", "cand_id"]
 
@@ -184,8 +185,8 @@ def threshold_sweep(scored: DataFrame, truth: DataFrame, thresholds: tuple[float
 def threshold_grid(scored: DataFrame, truth: DataFrame, countries: tuple[str, ...], thresholds: tuple[float, ...]) -> DataFrame:
     """F0.5 for every combination of thresholds of the countries and of all others; counts are made once, combinations come from a few rows."""
     group = F.coalesce(*[F.when(F.col("country") == c, F.lit(c)) for c in countries], F.lit("other"))
-    counts = _threshold_counts(scored.withColumn("grp", group), thresholds, "grp")
-    all_ = scored.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    counts = materialize(_threshold_counts(scored.withColumn("grp", group), thresholds, "grp").coalesce(1), "grid")  # a row for each group and threshold
+    all_ = scored.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double").coalesce(1)
     tables = []
     for g in (*countries, "other"):
         name = g.lower()

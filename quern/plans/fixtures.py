@@ -27,9 +27,12 @@ LIST_LINES = (
 )
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
+    """base: the written rows of fx_base, so that the texts are not split again for each source."""
+    if base is not None and name in ("fx_source1", "fx_source2", "fx_source3"):
+        return spark.sql(VIEWS[name].replace("FROM fx_base", "FROM {base}"), base=base)
     parts = [f"documents AS (SELECT doc_id, text, lang, source FROM parquet.`{sf_dir}/documents.parquet`)"]
-    if name != "fx_gt_pairs":
+    if name not in ("fx_base", "fx_gt_pairs"):
         parts.append(f"fx_base AS ({VIEWS['fx_base']})")
     return spark.sql(f"WITH {', '.join(parts)} {VIEWS[name]}")
 

@@ -18,8 +18,12 @@ class Linkage:
     def __init__(self, spark: SparkSession, sf_dir: str, profile: Blocking = PROFILES["fixture_evidence"]):
         self.spark, self.sf_dir, self.profile = spark, sf_dir, profile
 
+    @cached_property
+    def base(self) -> DataFrame:
+        return materialize(fixtures.view(self.spark, self.sf_dir, "fx_base"), "base")
+
     def raw(self, n: int) -> DataFrame:
-        return fixtures.view(self.spark, self.sf_dir, f"fx_source{n}")
+        return fixtures.view(self.spark, self.sf_dir, f"fx_source{n}", self.base)
 
     @cached_property
     def entities(self) -> DataFrame:
