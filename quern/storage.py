@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import re
 import tempfile
 import uuid
 import zipfile
@@ -13,29 +14,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one where spark.checkpoint.dir is unset (tests)."""
+    """The folder all executors share. Where spark.checkpoint.dir is unset, a temporary one if there is one machine only; else an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="quern-shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, row_group: int | None = None) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back.
 
     This cuts the lineage: a lost executor costs at most a re-read of files that all executors see.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/quern-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    w = df.write.option("parquet.block.size", row_group) if row_group else df.write
+    w.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._quern_path = path
     return out
 
 
+def reads(df: DataFrame, *tables: DataFrame | None) -> DataFrame:
+    """df, which notes the written tables that it reads: discard(df) deletes them too, once df's rows are elsewhere."""
+    df._quern_reads = [*getattr(df, "_quern_reads", []), *tables]
+    return df
+
+
 def discard(df: DataFrame | None) -> None:
-    """Deletes a table that materialize() wrote and that nothing reads any more."""
+    """Deletes a table that materialize() wrote and that nothing reads any more, and what reads() noted for df."""
+    for t in getattr(df, "_quern_reads", []):
+        discard(t)
     path = getattr(df, "_quern_path", None)
     if path:
         at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
