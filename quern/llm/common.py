@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import pickle
+import zlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from quern.storage import discard, materialize, reads, shared_dir, ship
 
-from quern.storage import discard, materialize, shared_dir, ship
+ARROW_BYTES = 8 << 20  # of an Arrow batch
 
 #: White space that ends a word: space and the characters tab to carriage return.
 #: bytes.split() without arguments splits at exactly these, bytes.lower() lowers A-Z only.
@@ -34,4 +42,34 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-__all__ = ["WORD", "discard", "fold", "free_name", "materialize", "shared_dir", "ship", "table"]
+def mapped(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
+    """mapInArrow with batches that are bounded by bytes, and with the package on the executors."""
+    spark = df.sparkSession
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(name).rstrip("b")) > ARROW_BYTES:
+        spark.conf.set(name, str(ARROW_BYTES))
+    return df.mapInArrow(run, schema)
+
+
+class Shared:
+    """A broadcast value of bounded size; workers keep what they build of it by a hash of its content."""
+
+    def __init__(self, spark: SparkSession, value):
+        data = pickle.dumps(value, 5)
+        self.key = hashlib.sha256(data).hexdigest()
+        self.sent = spark.sparkContext.broadcast(zlib.compress(data, 1))
+
+    def built(self, make: Callable, keep: int = 2):
+        """make(value), made once in a worker; it keeps the latest few."""
+        key = (make.__module__, make.__qualname__, self.key)
+        if key not in _BUILT:
+            while len(_BUILT) >= keep:
+                del _BUILT[next(iter(_BUILT))]
+            _BUILT[key] = make(pickle.loads(zlib.decompress(self.sent.value)))
+        return _BUILT[key]
+
+
+_BUILT: dict = {}
+
+__all__ = ["WORD", "Shared", "discard", "fold", "free_name", "mapped", "materialize", "reads", "shared_dir", "ship", "table"]

@@ -251,25 +251,59 @@ def test_forward_is_exact():
     assert np.allclose(got, want)
 
 
-def test_long_sequences_carry_on(monkeypatch):
-    rng = np.random.default_rng(0)
-    model = hm.separate(rng.integers(0, 4, 400), np.array([200, 200]), np.full(4, 0.25), 2, 3)
-    q = rng.integers(0, 4, 900)
-    whole = model.log10(q, np.array([900]))
-    monkeypatch.setattr(hm, "SEGMENT", 100)
-    assert np.allclose(model.log10(q, np.array([900])), whole)
+def some_model(s, k=3, seed=0):
+    rng = np.random.default_rng(seed)
+    norm = lambda x, axis=None: x / x.sum(axis=axis, keepdims=axis is not None)
+    return hm.Model(norm(rng.random(k)), norm(rng.random((k, k)), 1), norm(rng.random((s, k)) ** 4, 0))
 
 
-def test_training_raises_likelihood():
+def test_segments_lose_nothing(monkeypatch):
+    """A text in many segments has the likelihood and the expected counts of the whole text."""
     rng = np.random.default_rng(0)
-    flat, lengths, prior = np.concatenate([np.repeat([0, 1], 50), rng.integers(2, 6, 300)]), np.array([100, 300]), np.full(6, 1 / 6)
-    model, last = hm.separate(flat, lengths, prior, 3, 0), -np.inf
-    for _ in range(6):
-        c = hm.zero_counts(6, 3)
-        model.expected(hm.Layout(flat, lengths), c)
-        assert abs(c["start"].sum() - 2) < 1e-9 and abs(c["emit"].sum() - 400) < 1e-6 and abs(c["move"].sum() - 398) < 1e-6
-        assert c["loglik"][0] >= last - 1e-6
-        last, model = c["loglik"][0], hm.maximize(c, prior, 0.0)
+    model, lengths = some_model(4), np.array([900, 3, 250, 1, 77])
+    q = rng.integers(0, 4, lengths.sum())
+    found = []
+    for segment, tokens in ((1024, 10**6), (10, 10**6), (7, 50)):
+        monkeypatch.setattr(hm, "SEGMENT", segment)
+        monkeypatch.setattr(hm, "BATCH_TOKENS", tokens)
+        c = hm.zero_counts(4, 3)
+        model.expected(q, lengths, c)
+        found.append((model.log10(q, lengths), c))
+    for score, c in found[1:]:
+        assert np.allclose(score, found[0][0])
+        assert all(np.allclose(c[n], found[0][1][n]) for n in c)
+    assert abs(found[0][1]["start"].sum() - 5) < 1e-9 and abs(found[0][1]["move"].sum() - (lengths - 1).sum()) < 1e-6
+    single = hm.zero_counts(4, 3)
+    model.single().expected(q, lengths, single)
+    assert all(np.allclose(single[n], found[0][1][n], rtol=1e-3, atol=1e-2) for n in single)
+
+
+def test_expected_counts_against_all_paths():
+    model, q = some_model(4, 2, 3), np.array([0, 3, 1, 1, 2])
+    want, total = hm.zero_counts(4, 2), 0.0
+    for path in np.ndindex(*[2] * len(q)):
+        p = model.start[path[0]] * model.emit[q[0], path[0]]
+        for t in range(1, len(q)):
+            p *= model.move[path[t - 1], path[t]] * model.emit[q[t], path[t]]
+        total += p
+        want["start"][path[0]] += p
+        for t, s in enumerate(path):
+            want["emit"][q[t], s] += p
+            if t:
+                want["move"][path[t - 1], s] += p
+    got = hm.zero_counts(4, 2)
+    model.expected(q, np.array([5]), got)
+    assert all(np.allclose(got[n], want[n] / total) for n in ("start", "emit", "move"))
+    assert abs(got["loglik"][0] - math.log10(total)) < 1e-9
+
+
+def test_training_raises_likelihood(spark):
+    rnd, prior = random.Random(0), np.full(6, 1 / 6)
+    rows = [([0, 1] * 50,), *[([rnd.randrange(2, 6) for _ in range(40)],) for _ in range(9)]]
+    training = spark.createDataFrame(rows, "symbols array<short>").repartition(3)
+    _, seen = hm.baum_welch(training, hm.initial(prior, 3), prior, 8, 0.0, 0.0)
+    assert len(seen) == 8 and all(b >= a - 1e-3 for a, b in zip(seen, seen[1:]))
+    assert len(hm.baum_welch(training, hm.initial(prior, 3), prior, 50, 0.0, 0.01)[1]) < 50  # stops by itself
 
 
 def test_base_and_gain(spark, sf):
@@ -301,8 +335,10 @@ def test_scores_sum_to_at_most_one(spark):
 
 
 def test_language_model_edges(spark):
-    docs = awkward(spark).withColumn("Score", F.lit("x"))
-    rows = hm.train_and_score(docs, F.col("doc_id") < 8).collect()
+    docs = awkward(spark).withColumn("Score", F.lit("x")).withColumns({c: F.lit(c) for c in ("_train", "uid", "kept", "train", "word")})
+    out = hm.train_and_score(docs, F.col("doc_id") < 8)
+    rows = out.collect()
+    assert {(r["_train"], r["uid"], r["kept"], r["train"], r["word"]) for r in rows} == {("_train", "uid", "kept", "train", "word")}
     assert len(rows) == 12 and all(math.isfinite(r["score"]) and r["n_tokens"] >= 1 for r in rows)
     same = [r["score"] for r in rows if r["doc_id"] in (1, 2)]
     assert max(same) - min(same) < 1e-9
