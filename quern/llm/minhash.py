@@ -6,7 +6,7 @@
    collisions, estimates the similarity, and pairs whose estimate is far below the threshold go.
 3. First each class is compared with the least member of its buckets only (no pairs within a group), confirmed on the
    full sets, and linked classes are merged. Buckets that still hold several components are then compared in blocks of
-   at most BLOCK by BLOCK classes, twice: signatures tell which members have a candidate in another component, and of those
+   at most BLOCK classes and ITEMS shingles, twice: signatures tell which members have a candidate in another component, and of those
    members the full sets are brought together, all their candidate pairs decided exactly, and only a link per pair of
    components that meet is handed on. So links are complete for all candidates, while a group of any size yields rows in
    proportion to its members.
@@ -27,13 +27,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import discard, free_name, materialize, table
+from quern.llm.common import discard, free_name, mapped, materialize, reads, table
 from quern.llm.components import components, roots
 
 PERMS, ROWS, BITS = 160, 5, 4
 BANDS = PERMS // ROWS
 SLACK = 0.18  # below the threshold, over five standard deviations of the estimate
-BLOCK = 2048  # a comparison of two blocks takes about 100 MB
+BLOCK, ITEMS = 1024, 1 << 19  # classes and shingles in a block at most, but for chance; two blocks are compared in some 50 MB
+STRIP = 64  # rows whose signatures are compared with a block at a time
 MANY = 5000  # candidate pairs of a block pair beyond which all its intersections are taken at once
 BROADCAST_IDS = 1_000_000  # 8 MB
 LAST = (1 << 63) - 1  # stands for a null id
@@ -138,29 +139,35 @@ def similarity(a: Column, b: Column) -> Column:
 
 
 def _similar(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The same for all pairs of two blocks of signatures."""
+    """The same for all pairs of two sets of signatures."""
     unequal = np.zeros((len(a), len(b)), np.uint8)  # PERMS is below 256
     for i in range(a.shape[1]):
         z = a[:, None, i] ^ b[None, :, i]
         z |= z >> np.uint64(2)
         z |= z >> np.uint64(1)
-        unequal += np.bitwise_count(z & np.uint64(_LOW))
+        z &= np.uint64(_LOW)
+        unequal += np.bitwise_count(z)
     chance = 1.0 / (1 << BITS)
     return ((1 - unequal / np.float32(PERMS)) - np.float32(chance)) / np.float32(1 - chance)
 
 
 def _candidates(found: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions (i, j) of the pairs of two blocks of a bucket that may be similar and lie in two components, the likeliest first."""
+    """Positions (i, j) of the pairs of two blocks of a bucket that may be similar and lie in two components, with the estimate."""
     side, comp, n = (np.asarray(found.column(c)) for c in ("side", "comp", "n"))
     sig = np.asarray(found.column("sig").combine_chunks().flatten()).view(np.uint64).reshape(len(n), -1)
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    est = _similar(sig[left], sig[right])
-    nl, nr = n[left][:, None].astype(float), n[right][None, :].astype(float)
-    ok = (est >= threshold - SLACK) & (np.minimum(nl, nr) >= threshold * np.maximum(nl, nr) - 1e-9) & (comp[left][:, None] != comp[right][None, :])
-    if (side == 2).all():
-        ok = np.triu(ok)
-    i, j = np.nonzero(ok)
-    return left[i], right[j], est[i, j]
+    same = bool((side == 2).all())
+    out = []
+    for s in range(0, len(left), STRIP):
+        own = left[s : s + STRIP]
+        est = _similar(sig[own], sig[right])
+        nl, nr = n[own][:, None], n[right][None, :]
+        ok = (est >= threshold - SLACK) & (np.minimum(nl, nr) >= threshold * np.maximum(nl, nr) - 1e-9) & (comp[own][:, None] != comp[right][None, :])
+        if same:
+            ok &= own[:, None] < right[None, :]
+        i, j = np.nonzero(ok)
+        out.append((own[i].astype(np.int32), right[j].astype(np.int32), est[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, int), np.empty(0, int), np.empty(0))
 
 
 def _contested(threshold: float):
@@ -184,9 +191,9 @@ def intersections(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     column, member = column[order], member[order]
     out = np.zeros((len(sizes), len(sizes)), np.float32)
-    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
-        a, b = np.searchsorted(column, [start, start + 2048])
-        part = np.zeros((len(sizes), 2048), np.float32)
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, 512):
+        a, b = np.searchsorted(column, [start, start + 512])
+        part = np.zeros((len(sizes), 512), np.float32)
         part[member[a:b], column[a:b] - start] = 1
         out += part @ part.T
     return out
@@ -225,11 +232,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """(key, n_shingles, component_id, kept) for every row of docs; links: 100 * intersection >= percent * union."""
     threshold = percent / 100
     slim = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("id"), F.col(text).alias("text"))
-    feats = materialize(slim.mapInArrow(_sketches(k), _SKETCH), "minhash-sketches")
+    feats = materialize(mapped(slim, _sketches(k), _SKETCH), "minhash-sketches")
     classes = materialize(feats.filter("n > 0").groupBy("sh").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "minhash-classes")
-    banded = classes.select("sh", F.explode("keys").alias("band"))
-    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.min("sh").alias("pivot")).filter("size > 1")
-    members = materialize(banded.join(several, "band"), "minhash-members")
+    banded = classes.select("sh", "n", F.explode("keys").alias("band"))
+    several = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("sh").alias("pivot")).filter("size > 1")
+    members = materialize(banded.drop("n").join(several, "band"), "minhash-members")
     sig = classes.select("sh", "n", "sig")
     as_ = lambda df, p: df.select(*[F.col(c).alias(p + c) for c in df.columns])
     stars = members.filter("sh <> pivot").groupBy(F.col("sh").alias("a"), F.col("pivot").alias("b")).agg((F.min("size") == 2).alias("alone"))
@@ -248,16 +255,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     rows = _with_component(contested, comp).join(sig, "sh").join(sets.union(more), "sh")
     links = rows.select("band", "i", "j", "side", "comp", "n", "sig", "items").groupBy("band", "i", "j").applyInArrow(_exact_links(threshold, percent), "a long, b long")
     before, comp = comp, _merged(comp, links)
-    scratch = [members, pairs, sets, contested, more, before]
-    for done in scratch:  # the result reads the sketches, the classes and their components only
-        discard(done)
     final = _with_component(classes.select("sh", "rep"), comp)
     least = final.groupBy("comp").agg(F.min("rep").alias("component_id"))
     final = final.join(least, "comp").select("sh", "component_id")
-    out = feats.select("id", "n", "sh").join(final, (feats["sh"] == final["sh"]) & (feats["n"] > 0), "left")
+    sized = feats.select("id", "n", "sh")
+    # texts without words have no class: they stay out of the join, where they would all meet in one key
+    out = sized.filter("n > 0").join(final, "sh").drop("sh").unionByName(sized.filter("n = 0").drop("sh").withColumn("component_id", F.col("id")))
     real = lambda c: F.when(c != LAST, c)
-    component = F.coalesce(F.col("component_id"), F.col("id"))
-    return out.select(real(F.col("id")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"), (F.col("id") == component).alias("kept"))
+    done = materialize(out.select("id", "n", "component_id"), "minhash-result")
+    for scratch in (feats, classes, members, pairs, sets, contested, more, before, comp):
+        discard(scratch)
+    component = F.col("component_id")
+    return reads(done.select(real(F.col("id")).alias(key), F.col("n").alias("n_shingles"), real(component).alias("component_id"), (F.col("id") == component).alias("kept")), done)
 
 
 def _with_component(rows: DataFrame, comp: DataFrame) -> DataFrame:
@@ -290,7 +299,7 @@ def _full_sets(slim: DataFrame, classes: DataFrame, wanted: DataFrame, known: Da
     reps = materialize(classes.join(wanted, "sh", "left_semi").select(F.col("rep").alias("id")).distinct(), "minhash-reps")
     small = reps.count() <= BROADCAST_IDS
     texts = slim.join(F.broadcast(reps) if small else reps, "id", "left_semi").select("text")
-    out = materialize(texts.mapInArrow(_sets(k), "sh long, items array<long>").dropDuplicates(["sh"]), "minhash-sets")
+    out = materialize(mapped(texts, _sets(k), "sh long, items array<long>").dropDuplicates(["sh"]), "minhash-sets")
     discard(reps)
     return out
 
@@ -305,25 +314,26 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _open_blocks(members: DataFrame, sig: DataFrame, comp: DataFrame) -> DataFrame:
     """The buckets whose members lie in several components, dealt into pairs of blocks."""
-    now = _with_component(members.select("band", "sh", "size"), comp)
+    now = _with_component(members.select("band", "sh", F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("weight") / ITEMS)).alias("blocks")), comp)
     open_ = now.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("band")
     rows = now.join(open_, "band", "left_semi").join(sig, "sh")
-    blocks = F.ceil(F.col("size") / BLOCK)
+    blocks = F.col("blocks")
     own = F.pmod(F.xxhash64("sh", F.lit(7)), blocks)
     # block i meets block j once for i <= j: a row goes to (own, j) for j >= own and to (i, own) for i <= own
     meets = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(o, own).alias("i"), F.greatest(o, own).alias("j"), F.when(o == own, 2).when(o > own, 0).otherwise(1).alias("side")))
     columns, zero = ["band", "meet.i", "meet.j", "meet.side", "sh", "comp", "n", "sig"], F.lit(0).cast("long")
-    whole = rows.filter(F.col("size") <= BLOCK).withColumn("meet", F.struct(zero.alias("i"), zero.alias("j"), F.lit(2).alias("side"))).select(*columns)
-    return whole.union(rows.filter(F.col("size") > BLOCK).withColumn("meet", F.explode(meets)).select(*columns))
+    whole = rows.filter("blocks = 1").withColumn("meet", F.struct(zero.alias("i"), zero.alias("j"), F.lit(2).alias("side"))).select(*columns)
+    return whole.union(rows.filter("blocks > 1").withColumn("meet", F.explode(meets)).select(*columns))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group: that of the least id; of rows repeated with that id, one for each text."""
     id_, hash_ = free_name(docs, "_id", "_hash")
     real = F.coalesce(F.col(key).cast("long"), F.lit(LAST))
-    kept = near_duplicates(docs, key, text, k, percent).filter("kept").select(real.alias(id_)).distinct()
-    own = docs.withColumns({id_: real, hash_: F.xxhash64(text)})
-    return own.join(kept, id_, "left_semi").dropDuplicates([id_, hash_]).drop(id_, hash_)
+    found = near_duplicates(docs, key, text, k, percent)
+    kept = found.filter("kept").select(real.alias(id_)).distinct()
+    own = docs.withColumns({id_: real, hash_: F.xxhash64(F.col(f"`{text}`"))})
+    return reads(own.join(kept, id_, "left_semi").dropDuplicates([id_, hash_]).drop(id_, hash_), found)
 
 
 def op10_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -65,9 +65,11 @@ def family(rnd, n, words, edits):
     return out
 
 
-@pytest.mark.parametrize(("block", "many"), [(1024, 5000), (8, 0), (20, 10)])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, block, many):
+@pytest.mark.parametrize(("block", "many", "items"), [(1024, 5000, 1 << 19), (8, 0, 10**6), (1024, 10, 900)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, block, many, items):
     monkeypatch.setattr(mh, "BLOCK", block)
+    monkeypatch.setattr(mh, "ITEMS", items)
+    monkeypatch.setattr(mh, "STRIP", 16)
     monkeypatch.setattr(mh, "MANY", many)
     rnd = random.Random(11)
     texts = family(rnd, 60, 60, 9) + family(rnd, 40, 200, 40) + family(rnd, 12, 5, 1) + ["one"] * 5 + ["One", "two", "a b", "b a", None, "", "  "] + [" ".join(f"u{rnd.randrange(9999)}" for _ in range(50)) for _ in range(20)]
