@@ -1,15 +1,18 @@
 """Surrogates for personal data: keyed, type-consistent replacements.
 
 Detected: e-mail addresses, telephone numbers, IPv4 addresses, card numbers (Luhn), IBANs (mod 97), US social security numbers,
-secrets (access keys; values of password, token, secret, api_key), and person names after a title or a known given name.
+secrets (access keys; values of password, token, secret, api_key), and person names after a title or a known given name; a
+name that a text has once is found wherever that text has it again. Names that follow neither are not found.
 
 A surrogate is made by a keyed hash of the kind, the normalised value and an attempt number, in the format of
 the original: separators, lengths, case and check digits are kept; e-mails and IPs move to reserved ranges; name parts keep gender and script. The same
-entity has the same surrogate in the whole corpus (coreference). Distinct entities get distinct surrogates, none of them an entity of the corpus: the
-distinct entities are counted as a table, and those whose surrogate is taken, or is itself an entity, try again until none collide.
+entity has the same surrogate in the whole corpus (coreference): telephone numbers with and without the North American +1
+are one entity, and so is a given name whatever title it follows, whose gender all its mentions decide. Distinct entities get distinct surrogates,
+none of them an entity of the corpus: the distinct entities are counted as a table, and those whose surrogate is taken, or is itself an entity, try again
+until none collide; later attempts widen the space of values and in the end lengthen them, so a crowded or narrow format cannot run out.
 
-The operator reads the texts twice: rows with an entity are written aside with their spans, the
-others pass through. Only occurrences are shuffled, never texts without entities.
+The texts are scanned once: rows and their spans are written aside, and only mentions are shuffled. Entities with more than one
+mention in HOT_SHARE are at most HOT_SHARE rows and are broadcast; the others meet their mentions in a join.
 
 Defined cases: null and empty texts have no entity and stay as they are; repeated rows get the same text; overlapping
 detections keep the one that starts first, then the longest; an empty table gives an empty result; other columns are kept,
@@ -27,10 +30,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import discard, free_name, materialize, table
+from quern.llm.common import discard, mapped, materialize, reads, table
 
 KEY = "change-me"  # production passes its own
-BROADCAST_ENTITIES = 200_000
+BROADCAST_BYTES = 8 << 20  # of all entities' values
+HOT_SHARE = 2000
 
 # Titles with the gender they tell, and given names by gender.
 TITLES = {"Mr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Dr": "u", "Prof": "u", "Herr": "m", "Frau": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Г-н": "m", "Г-жа": "f"}
@@ -91,8 +95,13 @@ def detect(text: str | None) -> list[tuple[int, int, str]]:
     if not _GENDER.keys().isdisjoint(text.split()):
         for m in _NAMED.finditer(text):
             found += [(*m.span(1), f"given-{_GENDER[m.group(1)]}"), (*m.span(2), "surname")]
+    names = {text[a:b]: kind for a, b, kind in sorted(found, reverse=True) if kind == "surname" or kind.startswith("given-")}
+    if names:  # later mentions by one part of the name alone
+        for m in re.finditer(rf"(?<!\w)(?:{'|'.join(sorted(map(re.escape, names), key=len, reverse=True))})(?!\w)", text):
+            if len(m.group()) > 2:
+                found.append((*m.span(), names[m.group()]))
     out: list[tuple[int, int, str]] = []
-    for span in sorted(set(found), key=lambda s: (s[0], -s[1])):
+    for span in sorted(set(found), key=lambda s: (s[0], -s[1], s[2])):
         if not out or span[0] >= out[-1][1]:
             out.append(span)
     return out
@@ -103,7 +112,8 @@ def normal(kind: str, value: str) -> str:
     if kind == "email":
         return value.lower()
     if kind in ("phone", "card", "ssn"):
-        return re.sub(r"\D", "", value)
+        digits = re.sub(r"\D", "", value)
+        return digits[1:] if kind == "phone" and len(digits) == 11 and digits[0] == "1" else digits
     if kind == "iban":
         return value.replace(" ", "")
     return value
@@ -136,6 +146,8 @@ _ENDS = {("latin", "f"): ("lia", "na", "ra", "tta"), ("latin", "m"): ("rd", "n",
 def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0) -> str:
     """For a normalised value; render() gives it the separators of a mention."""
     s = _Stream(key, kind, value, attempt)
+    digits = lambda n: "".join(str(s.below(10)) for _ in range(n))
+    more = max(0, attempt - 5)  # characters by which a value grows when its format is crowded
     if kind == "email":
         local, _, domain = value.rpartition("@")
         labels = domain.split(".")
@@ -143,30 +155,34 @@ def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0) -> str:
         # under the reserved names; further letters tell more entities apart
         tld = labels[-1] if labels[-1] in ("com", "net", "org") else None
         end = ("example", tld) if tld else ("example",)
-        more = "".join(string.ascii_lowercase[s.below(26)] for _ in range(attempt))
-        return "".join(map(s.like, local)) + more + "@" + ".".join([host, *end])
+        return "".join(map(s.like, local)) + "".join(string.ascii_lowercase[s.below(26)] for _ in range(attempt)) + "@" + ".".join([host, *end])
     if kind == "ip":
-        return f"10.{s.below(256)}.{s.below(256)}.{1 + s.below(254)}"
+        if more:  # the documentation prefix of the longer addresses
+            return "2001:db8:" + ":".join(f"{s.below(1 << 16):x}" for _ in range(6))
+        first = 10 if attempt < 2 else 240 + s.below(15)  # private, then reserved
+        return f"{first}.{s.below(256)}.{s.below(256)}.{1 + s.below(254)}"
     if kind == "card":
-        body = value[0] + "".join(str(s.below(10)) for _ in value[2:])
+        body = value[0] + digits(len(value) - 2 + more)
         return next(body + c for c in string.digits if luhn(body + c))
     if kind == "phone":
-        if len(value) in (10, 11):  # North American form: area and exchange begin with 2 to 9, 555 is kept
-            own = value[-10:]
-            exchange = "555" if own[3:6] == "555" else f"{2 + s.below(8)}{s.below(100):02d}"
-            return value[:-10] + f"{2 + s.below(8)}{s.below(100):02d}{exchange}{s.below(10000):04d}"
-        return value[:2] + "".join(str(s.below(10)) for _ in value[2:])
+        if len(value) == 10 and value[0] not in "01":  # North American form: area and exchange begin with 2 to 9, 555 is kept while it can
+            exchange = "555" if value[3:6] == "555" and attempt < 3 else f"{2 + s.below(8)}{digits(2)}"
+            return f"{2 + s.below(8)}{digits(2)}{exchange}{digits(4 + more)}"
+        return value[:2] + digits(len(value) - 2 + more)
     if kind == "ssn":
-        return f"9{s.below(100):02d}{s.below(100):02d}{s.below(10000):04d}"
+        return "9" + digits(8 + more)
     if kind == "iban":
-        body = "".join(map(s.like, value[4:]))
+        body = "".join(map(s.like, value[4:])) + digits(more)
         rest = int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97
         return f"{value[:2]}{98 - rest:02d}{body}"
     if kind == "secret":
         fixed = 4 if value[:4] in ("AKIA", "ASIA") else 0
         tail = value[fixed:]
         hexadecimal = all(c in "0123456789abcdef" for c in tail)
-        return value[:fixed] + "".join("0123456789abcdef"[s.below(16)] if hexadecimal else s.like(c) for c in tail)
+        made = "".join("0123456789abcdef"[s.below(16)] if hexadecimal else s.like(c) for c in tail)
+        if attempt > 1 or sum(c.isalnum() for c in tail) < 6:  # too few letters and digits to tell many apart: all characters change
+            made = "".join((string.ascii_lowercase + string.digits)[s.below(36)] for _ in tail)
+        return value[:fixed] + made + digits(more)
     script = "cyrillic" if re.search(r"[А-Яа-яЁё]", value) else "latin"
     ends = kind[6:] if kind.startswith("given-") else "surname-f" if script == "cyrillic" and value.endswith("а") else "surname"
     stem = "".join(_SYLLABLES[script][s.below(len(_SYLLABLES[script]))] for _ in range(2 + min(attempt, 6)))
@@ -175,99 +191,110 @@ def surrogate(kind: str, value: str, key: str = KEY, attempt: int = 0) -> str:
 
 
 def render(kind: str, mention: str, made: str) -> str:
-    """The surrogate with the separators of the mention."""
+    """The surrogate with the separators, the country code 1 or the case of the mention."""
     if kind in ("phone", "card", "ssn", "iban"):
-        chars = iter(made)
-        return "".join(next(chars, "") if c.isalnum() else c for c in mention)
+        given = re.sub(r"[^0-9A-Za-z]", "", mention)
+        chars = iter(given[: len(given) - len(normal(kind, mention))] + made)
+        return "".join([next(chars, "") if c.isalnum() else c for c in mention] + list(chars))
+    if kind == "email":
+        local, _, domain = mention.rpartition("@")
+        new, _, host = made.rpartition("@")
+        cased = "".join(c.upper() if i < len(local) and local[i].isupper() else c for i, c in enumerate(new))
+        return f"{cased}@{host.upper() if domain.isupper() else host}"
     return made
 
 
-_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("value", T.StringType())]))
-_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("value", pa.string())]))
+_SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("kind", T.StringType()), T.StructField("gender", T.StringType()), T.StructField("value", T.StringType())]))
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("gender", pa.string()), ("value", pa.string())]))
 
 
-def _detected(text: str, spans: str, names: list[str], with_entities: bool):
-    def run(batches):
-        for batch in batches:
-            found, keep = [], []
-            for t in batch.column(text):
-                s = t.as_py()
-                own = detect(s)
-                keep.append(bool(own) == with_entities)
-                if with_entities and own:
-                    found.append([{"start": a, "end": b, "kind": k, "value": normal(k, s[a:b])} for a, b, k in own])
-            out = batch.select(names).filter(pa.array(keep, pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(found, _ARROW_SPANS)], [*names, spans]) if with_entities else out
-
-    return run
+def _detected(batches):
+    """(row, text) -> (row, text, spans)"""
+    for batch in batches:
+        found = []
+        for t in batch.column(1):
+            s = t.as_py()
+            own = [(a, b, *k.partition("-")[::2]) for a, b, k in detect(s)]
+            found.append([{"start": a, "end": b, "kind": k, "gender": g or None, "value": normal(k, s[a:b])} for a, b, k, g in own])
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, _ARROW_SPANS)], ["row", "text", "spans"])
 
 
 def _made(key: str):
     def run(batches):
         for batch in batches:
-            kinds, values, attempts = (batch.column(n).to_pylist() for n in ("kind", "value", "attempt"))
-            made = [surrogate(k, v, key, a) for k, v, a in zip(kinds, values, attempts, strict=True)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in ("kind", "value", "attempt")], pa.array(made, pa.string())], ["kind", "value", "attempt", "made"])
+            kinds, values, genders, attempts = (batch.column(n).to_pylist() for n in ("kind", "value", "gender", "attempt"))
+            made = [surrogate(f"given-{g}" if k == "given" else k, v, key, a) for k, v, g, a in zip(kinds, values, genders, attempts, strict=True)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in ("kind", "value", "gender", "attempt")], pa.array(made, pa.string())], ["kind", "value", "gender", "attempt", "made"])
 
     return run
 
 
-def assign(entities: DataFrame, key: str = KEY, most: int = 20) -> DataFrame:
-    """(kind, value) of distinct entities -> with surrogates that are distinct and no entities themselves."""
-    # letters of either gender or kind share the space of names
-    space = F.when(F.col("kind").startswith("given-") | (F.col("kind") == "surname"), F.lit("name")).otherwise(F.col("kind"))
-    schema = "kind string, value string, attempt int, made string"
-    now = materialize(entities.withColumn("attempt", F.lit(0)).mapInArrow(_made(key), schema), "surrogates")
+def assign(entities: DataFrame, key: str = KEY) -> DataFrame:
+    """(kind, value, gender) of distinct entities -> with surrogates that are distinct and no entities themselves."""
+    # given names and surnames share the space of names
+    space = F.when(F.col("kind").isin("given", "surname"), F.lit("name")).otherwise(F.col("kind"))
+    schema, own = "kind string, value string, gender string, attempt int, made string", ["kind", "value", "gender"]
+    now = materialize(mapped(entities.select(*own, F.lit(0).alias("attempt")), _made(key), schema), "surrogates")
     values = entities.select(space.alias("space"), F.col("value").alias("made")).distinct()
-    for _ in range(most):
+    while True:  # values grow from the sixth attempt on, so this ends
         placed = now.withColumn("space", space)
         first = placed.groupBy("space", "made").agg(F.min(F.struct("attempt", "kind", "value")).alias("first"), F.count(F.lit(1)).alias("n"))
         # of entities that met in one surrogate the least keeps it, unless it is an entity's own value
         taken = first.join(values, ["space", "made"], "left_semi").select("space", "made", F.lit(True).alias("real"))
         bad = first.filter("n > 1").select("space", "made", "first").join(taken, ["space", "made"], "full")
-        again = placed.join(bad, ["space", "made"]).filter(F.coalesce("real", F.lit(False)) | (F.col("first") != F.struct("attempt", "kind", "value"))).select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
+        again = placed.join(bad, ["space", "made"]).filter(F.coalesce("real", F.lit(False)) | (F.col("first") != F.struct("attempt", "kind", "value"))).select(*own, (F.col("attempt") + 1).alias("attempt"))
         again = materialize(again.distinct(), "surrogates-again")
         if again.isEmpty():
+            discard(again)
             return now
-        kept = now.join(again.select("kind", "value"), ["kind", "value"], "left_anti")
-        before, now = now, materialize(kept.union(again.mapInArrow(_made(key), schema)), "surrogates")
+        kept = now.join(again.select("kind", "value"), ["kind", "value"], "left_anti").select(*now.columns)
+        before, now = now, materialize(kept.union(mapped(again, _made(key), schema)), "surrogates")
         discard(before)
-    raise RuntimeError(f"surrogates still collide after {most} attempts")
+        discard(again)
+
+
+def _rewritten(batches):
+    """(row, text, found) -> (row, text, n_replaced, kinds)"""
+    for batch in batches:
+        texts, n, kinds = [], [], []
+        for t, found in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            s, out, at = t.as_py(), [], 0
+            for f in found:
+                out += [s[at : f["start"]], render(f["kind"], s[f["start"] : f["end"]], f["made"])]
+                at = f["end"]
+            texts.append("".join([*out, s[at:]]))
+            n.append(len(found))
+            kinds.append(",".join(sorted({f["kind"] for f in found})))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(n, pa.int64()), pa.array(kinds, pa.string())], ["row", "text", "n_replaced", "kinds"])
 
 
 def replace(docs: DataFrame, text: str = "text", key: str = KEY) -> DataFrame:
     """docs with the text rewritten, and n_replaced and kinds (sorted, comma-joined)."""
-    made_names = {"n_replaced", "kinds"}
-    names = [c for c in docs.columns if c.lower() not in made_names]
-    slim = docs.select(*[F.col(f"`{c}`") for c in names])
-    uid, spans = free_name(slim, "_uid", "_spans")
-    schema = T.StructType([*slim.schema.fields, T.StructField(spans, _SPANS)])
-    plain = slim.mapInArrow(_detected(text, spans, names, False), slim.schema)
-    marked = materialize(slim.mapInArrow(_detected(text, spans, names, True), schema).withColumn(uid, F.monotonically_increasing_id()), "pii-rows")
-    mentions = marked.select(uid, F.explode(spans).alias("s")).select(uid, "s.*")
-    entities = materialize(mentions.select("kind", "value").distinct(), "pii-entities")
-    made = assign(entities, key).select("kind", "value", "made")
-    few = entities.count() <= BROADCAST_ENTITIES
-    rendered = mentions.join(F.broadcast(made) if few else made, ["kind", "value"])
-    per_row = rendered.groupBy(uid).agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "made"))).alias("_made"))
-    joined = marked.drop(spans).join(per_row, uid).select(*[F.col(f"`{c}`") for c in names], "_made")
+    names = [c for c in docs.columns if c.lower() not in {"n_replaced", "kinds"}]
+    others = [c for c in names if c != text]
+    # columns of the input stay in a struct, so that no name clashes
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0).alias("none")]).alias("row"), F.col(f"`{text}`").alias("text"))
+    scanned = mapped(slim, _detected, T.StructType([*slim.schema.fields, T.StructField("spans", _SPANS)]))
+    marked = materialize(scanned.select(F.monotonically_increasing_id().alias("uid"), "row", "text", "spans", F.size("spans").alias("n")), "pii-rows")
+    mentions = marked.filter("n > 0").select("uid", F.explode("spans").alias("s")).select("uid", "s.*")
+    sexes = F.when(F.min("gender").isin("m", "f") & (F.min("gender") == F.max(F.when(F.col("gender") != "u", F.col("gender")))), F.min("gender"))
+    entities = materialize(mentions.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n"), F.coalesce(sexes, F.lit("u")).alias("gender")), "pii-entities")
+    chosen = assign(entities, key)
+    size, total = entities.agg(F.coalesce(F.sum(F.length("value") + 32), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    on, m = ["kind", "value"], mentions.drop("gender")
+    made = chosen.select(*on, "made")
+    if size <= BROADCAST_BYTES:
+        rendered = m.join(F.broadcast(made), on)
+    else:  # an entity with a large share of all mentions is one of a few, which are broadcast
+        hot = entities.filter(F.col("n") * HOT_SHARE > total).select(*on)
+        rendered = m.join(F.broadcast(made.join(hot, on, "left_semi")), on).unionByName(m.join(F.broadcast(hot), on, "left_anti").join(made, on))
+    per_row = rendered.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct("start", "end", "kind", "made"))).alias("found"))
+    joined = marked.filter("n > 0").select("uid", "row", "text").join(per_row, "uid").select("row", "text", "found")
     out_schema = T.StructType([*slim.schema.fields, T.StructField("n_replaced", T.LongType()), T.StructField("kinds", T.StringType())])
-
-    def rewritten(batches):
-        for batch in batches:
-            texts, n, kinds = [], [], []
-            for t, found in zip(batch.column(text), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
-                s, out, at = t.as_py(), [], 0
-                for f in found:
-                    out += [s[at : f["start"]], render(f["kind"], s[f["start"] : f["end"]], f["made"])]
-                    at = f["end"]
-                texts.append("".join([*out, s[at:]]))
-                n.append(len(found))
-                kinds.append(",".join(sorted({f["kind"] for f in found})))
-            columns = [pa.array(texts, pa.string()) if c == text else batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(kinds, pa.string())], out_schema.names)
-
-    return joined.mapInArrow(rewritten, out_schema).unionByName(plain.withColumn("n_replaced", F.lit(0).cast("long")).withColumn("kinds", F.lit("")))
+    plain = marked.filter("n = 0").select("row", "text", F.lit(0).cast("long").alias("n_replaced"), F.lit("").alias("kinds"))
+    out = mapped(joined, _rewritten, out_schema).unionByName(plain)
+    kept = [F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in names]
+    return reads(out.select(*kept, "n_replaced", "kinds"), marked, entities, chosen)
 
 
 def op3_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -207,7 +207,7 @@ def test_surrogates(spark):
     assert out[5]["text"] == texts[5] and out[8]["text"] is None and out[9]["text"] == ""
     assert "version 1.2.3" in out[2]["text"] and out[2]["kinds"] == "ip"
     mail = re.findall(r"\S+@[\w.]+", out[0]["text"])
-    assert mail[0] == mail[1] and mail[0] in out[1]["text"] and "a.b1@" not in out[0]["text"]
+    assert mail[0] == mail[1].lower() and mail[1][0].isupper() and mail[0] in out[1]["text"] and "a.b1@" not in out[0]["text"]
     assert re.search(r"\+1 \(\d{3}\) 555-\d{4}$", out[0]["text"])
     new = re.search(r"\d{4} \d{4} \d{4} \d{4}", out[1]["text"]).group()
     assert new != card and sg.luhn(new.replace(" ", "")) and out[7]["text"] == new.replace(" ", "")
@@ -224,8 +224,8 @@ def test_surrogates(spark):
 
 
 def test_surrogates_stay_distinct(spark):
-    rows = [("surname", f"Name{i}") for i in range(4000)] + [("ip", f"10.0.{i // 250}.{1 + i % 250}") for i in range(1500)] + [("given-f", f"G{i}") for i in range(500)]
-    made = sg.assign(spark.createDataFrame(rows, "kind string, value string")).collect()
+    rows = [("surname", f"Name{i}") for i in range(4000)] + [("ip", f"10.0.{i // 250}.{1 + i % 250}") for i in range(1500)] + [("given", f"G{i}") for i in range(500)]
+    made = sg.assign(spark.createDataFrame([(*r, "u") for r in rows], "kind string, value string, gender string")).collect()
     assert len(made) == len(rows)
     names = [r["made"] for r in made if r["kind"] != "ip"]
     ips = [r["made"] for r in made if r["kind"] == "ip"]
@@ -233,6 +233,58 @@ def test_surrogates_stay_distinct(spark):
     assert not {r["made"] for r in made} & {v for _, v in rows}
 
 
+def test_crowded_formats_do_not_run_out(spark):
+    """Every value of a narrow format, and values that no format can keep apart."""
+    rows = [("phone", f"31{i:03d}") for i in range(1000)] + [("secret", "_" * 8), ("secret", "-" * 8), ("secret", "________-")] + [("secret", f"{'_' * 7}{i}") for i in range(10)]
+    made = sg.assign(spark.createDataFrame([(*r, None) for r in rows], "kind string, value string, gender string")).collect()
+    assert len({(r["kind"], r["made"]) for r in made}) == len(rows) and not {(r["kind"], r["made"]) for r in made} & set(rows)
+    for kind, value in (("ip", "1.2.3.4"), ("ssn", "123456789"), ("card", "4111111111111111"), ("iban", "DE89370400440532013000"), ("email", "a@b.com"), ("phone", "2125550187"), ("surname", "Ng")):
+        assert len({sg.surrogate(kind, value, "k", a) for a in range(30)}) >= 28, kind
+
+
+def test_coreference_and_format(spark):
+    texts = ["password=________ token=--------", "call +1 (212) 555-0187", "call 212-555-0187 now", "A.Bee@Corp.Example.COM or a.bee@corp.example.com", "Dr. Alex Stone and Stone's Alex", "Mr. Alex Stone"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumns({c: F.lit(c) for c in ("_made", "uid", "row", "spans", "n", "Kinds")})
+    got = sg.replace(df, key="k")
+    assert got.columns == ["doc_id", "text", "_made", "uid", "row", "spans", "n", "n_replaced", "kinds"]
+    out = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert "________" not in out[0] and "--------" not in out[0]
+    a, b = re.sub(r"\D", "", out[1]), re.sub(r"\D", "", out[2])
+    assert a == "1" + b and re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}$", out[1]) and b != "2125550187"
+    x, y = out[3].split(" or ")
+    assert x.lower() == y and x.partition("@")[0][0].isupper() and x.partition("@")[0][2].isupper()
+    m = re.fullmatch(r"Dr\. (\w+) (\w+) and (\w+)'s (\w+)", out[4])
+    assert m and (m[1], m[2]) == (m[4], m[3]) and out[5] == f"Mr. {m[1]} {m[2]}" and "Alex" not in out[4]
+
+
+def test_split_join_gives_the_same(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = sorted(map(tuple, sg.replace(docs).collect()))
+    monkeypatch.setattr(sg, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(sg, "HOT_SHARE", 20)
+    assert sorted(map(tuple, sg.replace(docs).collect())) == want
+
+
+def test_surrogates_against_brute_force(spark, sf):
+    """What lies outside of the spans stays; the mentions of one entity, and only those, share a surrogate."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    out = {r["doc_id"]: r["text"] for r in queries.QUERIES["op3_surrogates"](spark, sf).collect()}
+    assert out.keys() == docs.keys()
+    made = {}
+    for i, text in docs.items():
+        spans, at, pattern = sg.detect(text), 0, ""
+        for a, b, _ in spans:
+            pattern, at = pattern + re.escape(text[at:a]) + "(.+?)", b
+        m = re.fullmatch(pattern + re.escape((text or "")[at:]), out[i] or "", re.S)
+        assert m, i
+        for (a, b, kind), new in zip(spans, m.groups(), strict=True):
+            kind = kind.partition("-")[0]
+            made.setdefault((kind, sg.normal(kind, text[a:b])), set()).add(sg.normal(kind, new))
+    assert len(made) > 10 and all(len(v) == 1 for v in made.values())
+    space = [("name" if k in ("given", "surname") else k, next(iter(v))) for (k, _), v in made.items()]
+    assert len(set(space)) == len(space) and not set(space) & {("name" if k in ("given", "surname") else k, v) for k, v in made}
+
+
 # language model
 def test_forward_is_exact():
     rng = np.random.default_rng(0)
