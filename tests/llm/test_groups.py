@@ -136,20 +136,29 @@ def test_vectors_against_brute_force(spark, monkeypatch, block):
     assert ed.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_estimate_is_unbiased_and_bounded():
+@pytest.mark.parametrize("dim", [64, 100, 300])
+def test_estimate_is_unbiased_and_bounded(dim):
     rng = np.random.default_rng(1)
     unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
-    a = unit(rng.normal(size=(400, 64)))
-    b = unit(a + 0.15 * rng.normal(size=a.shape))
-    turned, _, _ = ed.code(a)
-    _, bits, factor = ed.code(b)
+    a = unit(rng.normal(size=(300, dim)))
+    b = unit(a + rng.normal(size=a.shape) * rng.choice([0.02, 0.1, 0.3], size=(300, 1)))
+    code, factor, _, _ = ed.codes(b)
+    _, _, plane, scale = ed.codes(a)
+    estimate, deviation = ed.estimates(dim, code, factor, plane, scale)
     true = a @ b.T
-    bound = ed.upper_bound(turned, bits, factor)
-    assert (bound >= true).all()
-    assert abs((ed.upper_bound(turned, bits, factor, 0.0) - true).mean()) < 0.01
+    assert (estimate + ed.EPSILON * deviation >= true).all()
+    assert abs((estimate - true).mean()) < 0.01 and np.abs(np.diag(estimate - true)).mean() < 0.08
+    assert 0.5 < ((estimate - true) / deviation).std() < 1.3
     assert ed.plan_bands(10**9)[0] > ed.plan_bands(10**4)[0]
 
 
+def test_vectors_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [2.0, 0.0], 0), (3, [1.0, 0.0], 0), (None, None, None)], "vec_id long, embedding array<double>, label int")
+    df = df.withColumns({c: F.lit(1) for c in ("node", "h", "vec", "N_Links", "id")})
+    got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in ed.near_duplicates(df).collect()}
+    assert got == {1: (2, 1, True), 2: (2, 1, False), 3: (2, 1, False), None: (0, None, True)}
+
+
 # mixing
 def brute_targets(sizes):
     names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
