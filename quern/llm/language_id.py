@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Each language has a raw-content dictionary for zstandard, made from a bounded sample of its labelled texts
-(at most PER_LANG documents, at most DICT_BYTES of content). A text is encoded, whole and in pieces of PIECE
+Each language has a raw-content dictionary for zstandard, made of passages from a bounded sample of its labelled texts
+(at most PER_LANG documents, PER_TEXT characters of each, at most DICT_BYTES of content). A text is encoded, whole and in pieces of PIECE
 bytes, with each language's dictionary; the language with the smallest total wins. `margin` is by how much the
 second smallest total exceeds it, as a share; a text without a letter, or with a margin below MIN_MARGIN, is rejected.
 
@@ -13,8 +13,6 @@ their name; an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections import Counter
-
 import pyarrow as pa
 import regex
 import zstandard
@@ -23,11 +21,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import fold, table
+from quern.llm.common import Shared, fold, mapped, ship, table
 
 FOLDS, HELD_OUT = 4, 2
 PER_LANG = 400
 DICT_BYTES = 1 << 17
+PER_TEXT, PASSAGE = 2048, 256  # characters of a text in the sample, and of a passage in a dictionary
 PIECE = 1 << 12
 LEVEL = 9
 MIN_MATCH = 3  # bytes; syllables are short
@@ -38,36 +37,45 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def dictionary(texts: list[str], most: int = DICT_BYTES) -> bytes:
-    """Raw content: the sample's words, rarest first, so that the commonest lie nearest to the text."""
-    words = Counter(w for t in texts for w in t.lower().split())
-    out, size = [], 0
-    for word, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])):
-        size += len(word.encode()) + 1
-        if size > most:
-            break
-        out.append(word)
-    return (" ".join(reversed(out)) + " ").encode()
+    """Raw content: passages of the texts, the first of each, then the second, and so on, each once, as long as they fit."""
+    cut = [[t[i : i + PASSAGE].lower().encode() for i in range(0, len(t), PASSAGE)] for t in texts]
+    out, size = {}, 0
+    for nth in range(max(map(len, cut), default=0)):
+        for passages in cut:
+            if nth < len(passages) and passages[nth] not in out and size + len(passages[nth]) + 1 <= most:
+                out[passages[nth]] = None
+                size += len(passages[nth]) + 1
+    return b" ".join([*reversed(out), b""])
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", per_lang: int = PER_LANG) -> list[tuple[str, bytes]]:
     """The languages of the labelled rows, the most frequent first, each with its dictionary."""
-    labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy(lang).count().collect()}  # a row for each language
+    t = F.col(f"`{text}`")
+    labelled = docs.select(F.col(f"`{lang}`").alias("lang"), t.alias("text"), F.xxhash64(F.col(f"`{key}`"), t).alias("h")).filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
         return []
-    u = F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 20))
+    u = F.pmod("h", F.lit(1 << 20))
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 20, 1 + (2 * per_lang << 20) // n))])
-    few = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), u.alias("u")).filter(F.col("u") < share[F.col("lang")])
-    # a task hands on at most that many rows of a language, however often a row is repeated
-    few = few.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("u", F.xxhash64("text")))).filter(F.col("nth") <= 2 * per_lang).select("lang", "text")
 
     def content(key, found):
-        texts = sorted(found.column("text").to_pylist(), key=lambda t: (len(t), t))
-        step = max(1, len(texts) // per_lang)
-        return pa.table({"lang": [key[0].as_py()], "content": pa.array([dictionary(texts[::step])], pa.binary())})
+        texts = [t for _, t in sorted(zip(found.column("u").to_pylist(), found.column("text").to_pylist(), strict=True))]
+        return pa.table({"lang": [key[0].as_py()], "content": pa.array([dictionary(texts)], pa.binary())})
+
+    def dictionaries(rows: DataFrame) -> dict[str, bytes]:
+        # PER_TEXT characters from some place of each text: a sample bounded by rows and bytes
+        place = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - PER_TEXT + 1, F.lit(1)))
+        few = rows.select("lang", u.alias("u"), F.substring(F.col("text"), (place + 1).cast("int"), F.lit(PER_TEXT)).alias("text"))
+        # a task hands on at most that many rows of a language, however often a row is repeated
+        few = few.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("u", "text"))).filter(F.col("nth") <= per_lang).select("lang", "u", "text")
+        return {r[0]: bytes(r[1]) for r in few.groupBy("lang").applyInArrow(content, "lang string, content binary").collect()}
 
-    made = few.groupBy("lang").applyInArrow(content, "lang string, content binary").collect()
-    return sorted(((r[0], bytes(r[1])) for r in made), key=lambda x: (-counts[x[0]], x[0]))
+    ship(docs.sparkSession)
+    made = dictionaries(labelled.filter(u < share[F.col("lang")]))
+    rest = sorted(counts.keys() - made.keys())
+    if rest:  # a language of few different rows, of which the share has none
+        made |= dictionaries(labelled.filter(F.col("lang").isin(rest)))
+    return sorted(made.items(), key=lambda x: (-counts[x[0]], x[0]))
 
 
 class Judge:
@@ -96,22 +104,15 @@ class Judge:
         return self.langs[order[0]], min(1.0, 0.5 + 0.5 * min(1.0, margin * 10)), margin
 
 
-_JUDGES: dict = {}
-
-
 def identify(docs: DataFrame, model: list[tuple[str, bytes]], text: str = "text", min_margin: float = MIN_MARGIN) -> DataFrame:
     """docs with lang_pred, score, margin and rejected; the model's size is bounded by its languages."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     made = ["lang_pred", "score", "margin", "rejected"]
     kept = [c for c in docs.columns if c.lower() not in made]
     schema = T.StructType([*[docs.schema[c] for c in kept], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("margin", T.DoubleType()), T.StructField("rejected", T.BooleanType())])
 
     def judged(batches):
-        key = shared.id if hasattr(shared, "id") else id(shared)
-        if key not in _JUDGES:
-            _JUDGES.clear()
-            _JUDGES[key] = Judge(shared.value)
-        judge = _JUDGES[key]
+        judge = shared.built(Judge)
         for batch in batches:
             found = [judge(t.as_py()) for t in batch.column(text)]
             lang, score, margin = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [])
@@ -119,7 +120,7 @@ def identify(docs: DataFrame, model: list[tuple[str, bytes]], text: str = "text"
             columns = [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], [*kept, *made])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(judged, schema)
+    return mapped(docs.select(*[F.col(f"`{c}`") for c in kept]), judged, schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

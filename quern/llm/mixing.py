@@ -7,9 +7,9 @@ task ever holds a whole source, however hot it is.
 
 Defined cases: a null text has size 0; sources are ordered by code point with null last; a source
 whose documents are all empty has target 0 and emits nothing; an empty table gives an empty result;
-rows repeated with the same id are separate documents; ties in size are ordered by id. A document of
-size 0 can be emitted, its taken words are 0. Columns of the input that clash with the names used here
-are kept, and the computed columns are the only ones of that name in the result.
+rows repeated with the same id are separate documents; ties in size are ordered by id, then by a hash of the text. A document of
+size 0 can be emitted, its taken words are 0. Columns of the input are kept, whatever their names, unless
+a computed column has their name (size, source_size, target, expected, copies, taken; in emit() copy too).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quern.llm.common import WORD, materialize, table
+from quern.llm.common import WORD, materialize, reads, table
 
 WEIGHTS = (5, 2, 1)
 MOST = 3  # times its size that a source or a document may be taken
@@ -65,11 +65,12 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     counts of those groups in the same partitions. size: instead of the words of the text, so that the text need not be in docs.
     """
     computed = ["size", "source_size", "target", "expected", "copies", "taken"]
-    inner = docs.withColumn("_size", n_words(text) if size is None else size)
-    inner = inner.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("_size").alias("size"))
+    # ties of size and id are ordered by the text, where there is one; columns of the input stay in a struct, so that no name clashes
+    tie = F.xxhash64(F.col(f"`{text}`")) if text in docs.columns else F.lit(0).cast("long")
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), (n_words(text) if size is None else size).alias("size"), tie.alias("_tie"))
     digits, f = F.col("size").cast("string"), F.col("_row")
     # sorts as the source by code point, null last, and is never null: joins and windows then share one partitioning
-    rows = inner.select("_row", F.coalesce(F.concat(F.lit("0"), f[source]), F.lit("1")).alias("_source"), f[key].alias("_key"), "size")
+    rows = inner.select("_row", F.coalesce(F.concat(F.lit("0"), f[source]), F.lit("1")).alias("_source"), f[key].alias("_key"), "size", "_tie")
     # never null to Catalyst either: else the join's check for nulls would count the words once more
     class_ = F.coalesce(F.length(digits) * 100 + F.substring(digits, 1, 2).cast("int"), F.lit(0))
     rows = rows.withColumns({"_class": class_, "_bucket": F.substring(F.md5(F.coalesce(F.col("_key").cast("string"), F.lit(""))), 1, BUCKETS)})
@@ -82,21 +83,21 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
     per_source = per_source.withColumn("expected", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     inside = groups.select(*group, F.coalesce(F.sum("_count").over(up_to("_class").orderBy("_bucket")), F.lit(0)).alias("_in"))
     before = inside.join(starts, group[:2]).join(per_source, "_source").select(*group, (F.col("_start") + F.col("_in")).alias("_before"), "source_size", "target", "expected")
-    placed = rows.withColumn("_nth", F.row_number().over(W.partitionBy(*group).orderBy("size", "_key")))
+    placed = rows.withColumn("_nth", F.row_number().over(W.partitionBy(*group).orderBy("size", "_key", "_tie")))
     placed = placed.join(before, group).withColumn("_nth", F.col("_before") + F.col("_nth"))
     u = _offset(F.col("_source"), seed)
     copies = F.floor(F.col("expected") * F.col("_nth") + u) - F.floor(F.col("expected") * (F.col("_nth") - 1) + u)
     out = placed.withColumn("copies", copies.cast("long")).withColumn("taken", F.col("copies") * F.col("size"))
-    return out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in computed], *computed)
+    return reads(out.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in computed], *computed), groups)
 
 
 def emit(mixed: DataFrame) -> DataFrame:
     """One row for each copy, numbered from 1 in the column copy; documents with no copy go."""
-    return mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return reads(mixed.filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), mixed)
 
 
 def op7_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", n_words().alias("n"))
+    docs = materialize(table(spark, sf_dir, "documents").select("doc_id", "source", n_words().alias("n")), "mix-sizes")  # words are counted once
     return mix(docs, size=F.col("n")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import fold, table
+from quern.llm.common import Shared, fold, mapped, table
 
 FOLDS, HELD_OUT = 5, 0
 WORDS = 1 << 16
@@ -46,6 +46,12 @@ STATS = ("words", "mean_word", "distinct", "bigrams", "runs", "upper", "digits",
 FEATURES = WORDS + len(STATS) * BINS
 
 
+def zipped(data: bytes) -> int:
+    """Compressed size of all of it; memory does not grow with it."""
+    c = zlib.compressobj(1)
+    return sum(len(c.compress(data[i : i + (1 << 16)])) for i in range(0, len(data), 1 << 16)) + len(c.flush())
+
+
 def statistics(text: str, words: list[bytes], hashes: np.ndarray, stated: int | None) -> np.ndarray:
     """Each from 0 to 1, in the order of STATS."""
     data = text.encode()
@@ -55,7 +61,6 @@ def statistics(text: str, words: list[bytes], hashes: np.ndarray, stated: int |
     pairs = hashes[1:] * np.int64(31) + hashes[:-1]
     unique = lambda x: len(np.unique(x)) / len(x) if len(x) else 1.0
     solid = max(1, len(data) - len(data.translate(None, _SPACE)))
-    piece = data[:: max(1, size // 65536)] if size > 131072 else data  # a thinned whole, not a prefix, for very long texts
     return np.clip(
         [
             np.log2(1 + n) / 16,
@@ -70,7 +75,7 @@ def statistics(text: str, words: list[bytes], hashes: np.ndarray, stated: int |
             np.log2(1 + len(lines)) / 12,
             1 - len(set(lines)) / len(lines),
             sum(len(x) < 20 for x in lines) / len(lines),
-            len(zlib.compress(piece, 1)) / max(1, len(piece)) if piece else 0.0,
+            zipped(data) / size if data else 0.0,
             (len(data) - len(text)) / size * 2,
             np.log2(1 + max(0, stated)) / 20 if stated is not None else 0.0,
             1.0 if stated is not None and stated == len(text) else 0.0,
@@ -103,8 +108,21 @@ class FactorisationMachine:
         vx = self.v[at] * x[:, None]
         return float(self.w0 + self.w[at] @ x + 0.5 * ((vx.sum(axis=0) ** 2) - (vx**2).sum(axis=0)).sum())
 
-    def score(self, at: np.ndarray, x: np.ndarray) -> float:
-        return 1.0 / (1.0 + np.exp(-np.clip(self.raw(at, x), -30, 30)))
+    def scores(self, rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of many rows at once; each has a feature at least."""
+        out, start, size = [], 0, 0
+        for end in range(1, len(rows) + 1):
+            size += len(rows[end - 1][0])
+            if size > 100_000 or end == len(rows):
+                at, x = (np.concatenate([r[i] for r in rows[start:end]]) for i in (0, 1))
+                sizes = np.array([len(r[0]) for r in rows[start:end]])
+                first = np.cumsum(sizes) - sizes
+                vx = self.v[at] * x[:, None]
+                pairs = (np.add.reduceat(vx, first) ** 2 - np.add.reduceat(vx**2, first)).sum(axis=1)
+                out.append(self.w0 + np.add.reduceat(self.w[at] * x, first) + 0.5 * pairs)
+                start, size = end, 0
+        raw = np.concatenate(out) if out else np.empty(0)
+        return 1.0 / (1.0 + np.exp(-np.clip(raw, -30, 30)))
 
     def fit(self, rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 2e-4) -> FactorisationMachine:
         """Adagrad on the logistic loss, in batches; the same rows give the same model."""
@@ -143,41 +161,48 @@ class FactorisationMachine:
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", stated: str | None = "n_chars", most: int = MAX_TRAIN) -> FactorisationMachine:
     """Learns from the labelled rows of docs, at most `most` of them."""
-    marks = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.avg(label).alias("_y"))
-    marks = marks.join(docs.select(key).distinct(), key, "left_semi")
-    few = marks.orderBy(F.xxhash64(key), key).limit(most)
-    size = F.col(stated).cast("long") if stated else F.lit(None).cast("long")
-    rows = docs.join(F.broadcast(few), key).dropDuplicates([key]).select("_y", size.alias("stated"), F.col(text).alias("text"))
+    id_, y = F.col(f"`{key}`").alias("id"), F.col(f"`{label}`").cast("double")
+    marks = labels.select(id_, y.alias("y")).filter("id IS NOT NULL AND y IS NOT NULL").groupBy("id").agg(F.avg("y").alias("y"))
+    size = F.col(f"`{stated}`").cast("long") if stated else F.lit(None).cast("long")
+    slim = docs.select(id_, size.alias("stated"), F.col(f"`{text}`").alias("text"))
+    few = marks.join(slim.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most)
+    # of rows with one id, always the same one
+    least = F.min(F.struct(F.xxhash64("text").alias("h"), "stated", "text")).alias("r")
+    rows = slim.join(F.broadcast(few), "id").groupBy("id").agg(F.first("y").alias("y"), least).select("y", "r.stated", "r.text")
 
     def made(batches):
         for batch in batches:
             found = [features(t.as_py(), s.as_py()) for t, s in zip(batch.column("text"), batch.column("stated"), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("_y"), pa.array([a for a, _ in found], pa.list_(pa.int32())), pa.array([x.astype(np.float32) for _, x in found], pa.list_(pa.float32()))], ["y", "at", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([a for a, _ in found], pa.list_(pa.int32())), pa.array([x.astype(np.float32) for _, x in found], pa.list_(pa.float32()))], ["y", "at", "x"])
 
-    got = rows.mapInArrow(made, T.StructType([T.StructField("y", T.DoubleType()), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("x", T.ArrayType(T.FloatType()))])).toArrow()
+    got = mapped(rows, made, T.StructType([T.StructField("y", T.DoubleType()), T.StructField("at", T.ArrayType(T.IntegerType())), T.StructField("x", T.ArrayType(T.FloatType()))])).toArrow()
     at, x = (got.column(n).combine_chunks() for n in ("at", "x"))
     data = sorted(((np.asarray(a.values, np.int64), np.asarray(b.values, float), y) for a, b, y in zip(at, x, got.column("y").to_pylist(), strict=True)), key=lambda r: (len(r[0]), r[0].tobytes(), r[1].tobytes(), r[2]))
     return FactorisationMachine().fit([(a, b) for a, b, _ in data], np.array([y for _, _, y in data], float))
 
 
-_MODELS: dict = {}
+def _machine(value: tuple) -> FactorisationMachine:
+    return FactorisationMachine(*value)
 
 
 def score(docs: DataFrame, model: FactorisationMachine, text: str = "text", stated: str | None = "n_chars", threshold: float = THRESHOLD) -> DataFrame:
     """docs without the text, with score and predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.w0, model.w, model.v))
+    shared = Shared(docs.sparkSession, (model.w0, model.w, model.v))
     kept = [c for c in docs.columns if c != text and c.lower() not in ("score", "predicted")]
-    fields = [*[docs.schema[c] for c in kept], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
+    size = F.col(f"`{stated}`").cast("long") if stated else F.lit(None).cast("long")
+    # columns of the input stay in a struct, so that no name clashes
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(0).alias("none")]).alias("row"), F.col(f"`{text}`").alias("text"), size.alias("stated"))
+    fields = [slim.schema["row"], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]
 
     def scored(batches):
-        fm = FactorisationMachine(*shared.value)
+        fm = shared.built(_machine)
         for batch in batches:
-            sizes = batch.column("_stated").to_pylist()
-            found = [fm.score(*features(t.as_py(), s)) for t, s in zip(batch.column("_text"), sizes, strict=True)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())], [*kept, "score", "predicted"])
+            for start in range(0, batch.num_rows, 256):
+                part = batch.slice(start, 256)
+                found = fm.scores([features(t.as_py(), s.as_py()) for t, s in zip(part.column(1), part.column(2), strict=True)])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found), pa.array((found >= threshold).astype(np.int32))], ["row", "score", "predicted"])
 
-    size = F.col(stated).cast("long") if stated else F.lit(None).cast("long")
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_text"), size.alias("_stated")).mapInArrow(scored, T.StructType(fields))
+    return mapped(slim, scored, T.StructType(fields)).select(*[F.col("row")[c].alias(c) for c in kept], "score", "predicted")
 
 
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,8 +16,6 @@ an empty table gives an empty result; columns of the input are kept unless a com
 
 from __future__ import annotations
 
-import pickle
-import zlib
 from collections import Counter
 
 import pyarrow as pa
@@ -26,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import table
+from quern.llm.common import Shared, mapped, table
 
 LIMIT = 1024
 SAMPLE = 4096
@@ -91,59 +89,59 @@ class Encoder:
         return len(parts) - 1 + sum(sum(map(self.look_up, self.pieces(p))) for p in parts if p)
 
 
-_ENCODERS: dict = {}  # of this worker, one for each broadcast
-
-
-def _encoder(path: str, packed) -> Encoder:
-    key = (path, packed.id if hasattr(packed, "id") else zlib.crc32(packed.value))
-    if key not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(path, pickle.loads(zlib.decompress(packed.value)))
-    return _ENCODERS[key]
+def _encoder(value: tuple[str, dict[str, int]]) -> Encoder:
+    return Encoder(*value)
 
 
 def _head(docs: DataFrame, path: str, text: str, sample: int, most: int) -> dict[str, int]:
-    """The frequent pre-tokens of about `sample` documents, spread over all by a hash, with their lengths."""
+    """The `most` commonest pre-tokens of about `sample` documents, with their lengths. Their counts are summed across all tasks."""
     n = docs.count()
     every = max(1, n // max(1, sample))
-    chosen = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(every)) == 0).select(F.col(text).alias("text"))
+    column = F.col(f"`{text}`")
+    # copies of one text are dealt apart by the row's number
+    chosen = docs.filter(F.pmod(F.xxhash64(column, F.monotonically_increasing_id()), F.lit(every)) == 0).select(column.alias("text"))
 
     def counted(batches):
         encoder, counts = Encoder(path), Counter()
+
+        def summed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["piece", "n"])
+
         for batch in batches:
             for t in batch.column(0):
                 if t.is_valid:
                     counts.update(p for p in encoder.pieces(t.as_py()) if len(p) <= LONGEST)
-        top = counts.most_common(4096)
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in top], pa.string()), pa.array([c for _, c in top], pa.int64())], ["piece", "n"])
+                    if len(counts) > CACHE:
+                        yield summed()
+                        counts.clear()
+        yield summed()
 
-    few = chosen.limit(4 * sample).coalesce(16).mapInArrow(counted, "piece string, n long")
-    rows = few.groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most).collect()
+    rows = mapped(chosen, counted, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "piece").limit(most).select("piece").toArrow()
     encoder = Encoder(path)
-    return {r["piece"]: len(encoder.tok.encode(r["piece"], add_special_tokens=False).ids) for r in rows}
+    return {p: len(encoder.tok.encode(p, add_special_tokens=False).ids) for p in rows.column(0).to_pylist()}
 
 
 def count_tokens(docs: DataFrame, tokenizer: str | None = None, text: str = "text", limit: int = LIMIT, sample: int = SAMPLE, head: int = HEAD) -> DataFrame:
     """docs without the text, with n_bytes, n_tokens and over_limit."""
     path = tokenizer or default_tokenizer()
-    packed = docs.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(_head(docs, path, text, sample, head))))
-    made = {"n_bytes", "n_tokens", "over_limit"}
+    shared = Shared(docs.sparkSession, (path, _head(docs, path, text, sample, head)))
+    made = ["n_bytes", "n_tokens", "over_limit"]
     kept = [c for c in docs.columns if c.lower() not in made and c != text]
-    fields = [docs.schema[c] for c in kept]
-    schema = T.StructType([*fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
+    # columns of the input stay in a struct, so that no name clashes
+    slim = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept] or [F.lit(0).alias("none")]).alias("row"), F.col(f"`{text}`").alias("text"))
+    schema = T.StructType([slim.schema["row"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("over_limit", T.BooleanType())])
 
     def counted(batches):
-        encoder = _encoder(path, packed)
+        encoder = shared.built(_encoder)
         for batch in batches:
             n_bytes, n_tokens = [], []
-            for t in batch.column(batch.num_columns - 1):
+            for t in batch.column(1):
                 s = t.as_py()
                 n_bytes.append(len(s.encode()) if s else 0)
                 n_tokens.append(encoder.count(s))
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())], [*kept, "n_bytes", "n_tokens", "over_limit"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64()), pa.array([n > limit for n in n_tokens], pa.bool_())], ["row", *made])
 
-    return docs.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("_text")).mapInArrow(counted, schema)
+    return mapped(slim, counted, schema).select(*[F.col("row")[c].alias(c) for c in kept], *made)
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
