@@ -6,8 +6,8 @@ at the current position, and a table of the patterns that end in that block. A b
 the whole length, a word in no pattern past itself; a shift of 0 leads to the patterns with that suffix, and a direct comparison
 of all their words confirms an occurrence.
 
-Patterns are streamed from the benchmark in blocks of at most PATTERN_BLOCK, each broadcast and run over all rows;
-a row carries its hit spans from block to block, so the result does not depend on the blocks and the broadcast is bounded. Nothing is shuffled.
+Items are streamed from the benchmark in blocks of at most PATTERN_BLOCK windows and BLOCK_BYTES bytes, one after the other: each is broadcast and run over all rows;
+a row carries its hit spans from block to block in a written table, so the result does not depend on the blocks, and one block at a time is held. Nothing is shuffled.
 
 Defined cases: a null or empty text has no words and is not contaminated; null or empty items have no pattern; a
 null item_id is the empty name; rows repeated with one item_id count as one item; repeated documents are judged each by
@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import free_name, table
+from quern.llm.common import Shared, discard, free_name, mapped, materialize, reads, table
 
 WINDOW = 13
-PATTERN_BLOCK = 400_000
+PATTERN_BLOCK, BLOCK_BYTES = 100_000, 8 << 20  # windows and bytes of items in a block; its tables take some 50 MB in a worker
 SHARE = 20  # contaminated: at least one word in SHARE is hit
 
 #: Lower-cases A-Z; what is no word character becomes a space: words are [^\x00-\x2F\x3A-\x60\x7B-\x7F]+ of UTF-8.
@@ -115,22 +115,33 @@ def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, window: int, most: int) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
-    found: dict[tuple[bytes, ...], list[str]] = {}
-    for row in benchmark.select(F.col(item).cast("string"), F.col(text)).toLocalIterator():
-        name = row[0] or ""
-        for w in windows_of(row[1], window):
-            names = found.setdefault(w, [])
-            if name not in names:
-                names.append(name)
-            if len(found) >= most:
+def _blocks(benchmark: DataFrame, item: str, text: str, window: int, most: int) -> Iterator[list[tuple[str, bytes]]]:
+    """(name, words joined by spaces) with at most `most` windows in a block; an item of more is cut where windows start."""
+    found: list[tuple[str, bytes]] = []
+    windows = size = 0
+    for row in benchmark.select(F.col(f"`{item}`").cast("string"), F.col(f"`{text}`")).toLocalIterator():
+        words, at = words_of(row[1]), 0
+        while at == 0 and words or at + window <= len(words):
+            n = min(most - windows, max(1, len(words) - window + 1 - at))
+            found.append((row[0] or "", b" ".join(words[at : at + n + window - 1])))
+            at, windows, size = at + n, windows + n, size + len(found[-1][1])
+            if windows >= most or size >= BLOCK_BYTES:
                 yield found
-                found = {}
+                found, windows, size = [], 0, 0
     if found:
         yield found
 
 
-_SEARCHERS: dict = {}
+def _searcher(value: tuple[int, list[tuple[str, bytes]]]) -> WuManber:
+    window, items = value
+    patterns: dict[tuple[bytes, ...], list[str]] = {}
+    for name, text in items:
+        words = text.split()
+        for i in range(max(1, len(words) - window + 1)):
+            names = patterns.setdefault(tuple(words[i : i + window]), [])
+            if name not in names:
+                names.append(name)
+    return WuManber(patterns)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = PATTERN_BLOCK, keep_text: bool = True) -> DataFrame:
@@ -141,16 +152,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     state = [T.StructField(spans, T.ArrayType(T.LongType())), T.StructField(names, T.ArrayType(T.StringType())), T.StructField(total, T.LongType())]
     schema = T.StructType([*[docs.schema[c] for c in kept], *state])
     out = docs.select(*[F.col(f"`{c}`") for c in kept], *[F.lit(None).cast(f.dataType).alias(f.name) for f in state])
-    blocks = list(_blocks_broadcast(docs.sparkSession, _blocks(benchmark, item, item_text, window, block)))
-    for shared in blocks or [docs.sparkSession.sparkContext.broadcast({})]:
-
-        def searched(batches, shared=shared):
-            key = getattr(shared, "id", None) or id(shared)
-            if key not in _SEARCHERS:
-                if len(_SEARCHERS) > 2:
-                    _SEARCHERS.clear()
-                _SEARCHERS[key] = WuManber(shared.value)
-            search = _SEARCHERS[key].search
+
+    def searching(shared: Shared):
+        def run(batches):
+            search = shared.built(_searcher, keep=1).search
             for batch in batches:
                 s, k, n = [], [], []
                 for t, old, old_names in zip(batch.column(text), batch.column(spans).to_pylist(), batch.column(names).to_pylist(), strict=True):
@@ -165,18 +170,24 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
                 columns = [pa.array(s, pa.list_(pa.int64())), pa.array(k, pa.list_(pa.string())), pa.array(n, pa.int64())]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], *columns], [*kept, spans, names, total])
 
-        out = out.mapInArrow(searched, schema)
+        return run
+
+    blocks = _blocks(benchmark, item, item_text, window, block)
+    now, before = next(blocks, []), None
+    while now is not None:
+        after = next(blocks, None)
+        shared = Shared(docs.sparkSession, (window, now))
+        out = mapped(out, searching(shared), schema)
+        if after is not None:  # one block at a time: its table is gone before the next one's is built
+            out = materialize(out, "decontaminate-state")
+            shared.sent.destroy()
+            discard(before)
+            before = out
+        now = after
     n_hit = F.aggregate(F.transform(spans, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x)), F.lit(0).cast("long"), lambda a, x: a + x)
     columns = [F.col(f"`{c}`") for c in kept if keep_text or c != text]
-    return (
-        out.select(*columns, F.col(total).alias("n_words"), n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), F.col(names).alias("items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), F.col(spans).alias("hit_spans"))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words")))
-    )
-
-
-def _blocks_broadcast(spark: SparkSession, blocks: Iterator[dict]) -> Iterator:
-    for found in blocks:
-        yield spark.sparkContext.broadcast(found)
+    out = out.select(*columns, F.col(total).alias("n_words"), n_hit.alias("n_hit"), F.size(names).cast("long").alias("n_items"), F.col(names).alias("items"), F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), F.col(spans).alias("hit_spans"))
+    return reads(out.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * SHARE >= F.col("n_words"))), before)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,6 +200,15 @@ def test_mix(spark):
     assert {r["taken"] for r in mx.mix(df.filter("source = 'void'")).collect()} == {0}
 
 
+def test_mix_with_clashing_names(spark):
+    df = spark.createDataFrame([(1, "a b", "s", "x", 7), (1, "c d", "s", "y", 8), (2, "e", "t", "z", 9)], "doc_id long, text string, source string, _size string, copy int")
+    rows = mx.mix(df).collect()
+    assert {r["_size"] for r in rows} == {"x", "y", "z"} and {r["copy"] for r in rows} == {7, 8, 9}
+    copies = lambda d: sorted((r["text"], r["copies"]) for r in mx.mix(d).collect())
+    assert copies(df) == copies(df.orderBy(F.desc("text")).repartition(3))
+    assert all(r["copy"] <= r["copies"] for r in mx.emit(mx.mix(df)).collect())
+
+
 def test_mix_uses_no_python(spark, sf):
     plan = mx.mix(spark.read.parquet(f"{sf}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

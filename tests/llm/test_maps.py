@@ -20,9 +20,9 @@ def brute_rule(url, rules, default="allow"):
     m = re.match(r"(?s)^.*?://([^/?#]*)([^?#]*)", url or "")
     host = re.sub("[A-Z]", lambda x: x.group().lower(), m[1]) if m else ""
     path = m[2] if m else ""
-    fits = [(len(h + p), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h) and h) and path.startswith(p)]
-    best = max(fits, default=(0, None, default))
-    return host, path, best[1], best[2]
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules if (host == h or host.endswith("." + h) and h) and path.startswith(p)]
+    best = max(fits, default=(0, 0, None, default))
+    return host, path, best[2], best[3]
 
 
 def test_rules_against_brute_force(spark):
@@ -33,20 +33,26 @@ def test_rules_against_brute_force(spark):
     urls = [f"{rnd.choice(['http', 'HTTPS'])}://{'.'.join(rnd.choice([label(), label().upper()]) for _ in range(rnd.randint(1, 4)))}/{'/'.join(label() for _ in range(rnd.randint(0, 3)))}{rnd.choice(['', '?q=/net', '#x'])}" for _ in range(300)]
     urls += [None, "", "no scheme", "x://", "x://net", "x://net?/a", "x:///a", "x://NET/a", "x://a..net/", "a://b://net/"]
     df = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string").repartition(3)
-    for block in (1000, 7):  # one pass, and many
-        got = {r["page_id"]: (r["host"], r["path"], r["verdict"], r["rule"]) for r in uf.apply_rules(df, rules, block=block).collect()}
+    as_table = spark.createDataFrame([*rules, *rules[:3]], "host string, path string, verdict string")
+    for given, block in ((rules, 1000), (rules, 14), (as_table, 1000)):  # one pass, and several
+        got = {r["page_id"]: (r["host"], r["path"], r["verdict"], r["rule"]) for r in uf.apply_rules(df, given, block=block).collect()}
         for i, u in enumerate(urls):
             host, path, rule, verdict = brute_rule(u, rules)
             assert got[i][:2] == (host, path), u
-            assert len(got[i][3] or "") == len(rule or ""), (u, got[i], rule)
-            if rule is None:
-                assert got[i][2] == "allow"
+            assert got[i][2:] == (verdict, rule), (u, got[i], rule)
+
+
+def test_sweep_starts_anywhere():
+    rules = sorted((uf.rule_key(h), p, h, "block") for h in ("", "a", "b.a", "c.b.a", "z", "b.z") for p in ("", "/x"))
+    keys = sorted(uf.rule_key(h) for h in ("", "a", "q.a", "b.a", "d.c.b.a", "y", "z", "a.b.z"))
+    whole = list(uf.sweep(keys, ["/x"] * len(keys), uf.Rules(rules)))
+    assert whole == [next(uf.sweep([k], ["/x"], uf.Rules(rules))) for k in keys] and whole[0] >= 0
 
 
 def test_rule_columns_and_emptiness(spark):
     df = spark.createDataFrame([(1, "http://x.net/a", "mine", "k"), (1, "http://x.net/a", "mine", "k")], "page_id int, url string, Host string, key string")
     out = uf.apply_rules(df)
-    assert out.columns == ["page_id", "url", "key", "host", "path", "rule", "verdict"]
+    assert out.columns == ["page_id", "url", "key", "host", "path", "rule", "verdict"] and {r["key"] for r in out.collect()} == {"k"}
     assert [r["verdict"] for r in out.collect()] == ["block", "block"]
     assert uf.apply_rules(df.limit(0)).count() == 0
     assert {r["verdict"] for r in uf.apply_rules(df, [], default="keep").collect()} == {"keep"}
@@ -67,6 +73,14 @@ def test_counts_equal_the_library(spark):
     assert tc.count_tokens(empty(spark)).count() == 0
 
 
+def test_head_holds_all_it_may(spark):
+    """More different pre-tokens than a task used to hand on."""
+    df = spark.createDataFrame([(i, " ".join("w" + chr(97 + i % 20) + chr(97 + i // 20) + chr(97 + j % 20) + chr(97 + j // 20) for j in range(40))) for i in range(400)], "doc_id long, text string")
+    assert len(tc._head(df, tc.default_tokenizer(), "text", 4096, tc.HEAD)) > 4096
+    assert len(tc._head(df, tc.default_tokenizer(), "text", 4096, 100)) == 100
+    assert tc.count_tokens(df.withColumn("_text", F.lit("k"))).columns == ["doc_id", "_text", "n_bytes", "n_tokens", "over_limit"]
+
+
 # decontamination
 def brute_hits(text, items, window=13):
     words = re.findall(rb"[0-9a-z\x80-\xff]+", text.lower().encode() if text else b"")
@@ -89,7 +103,7 @@ def test_search_against_brute_force(spark):
     texts += [f"x y {t} z" for _, t in items if t] + [None, "", "...", "Alone, IN the-dark!"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").withColumn("Items", F.lit(1))
     bench = spark.createDataFrame(items, "item_id string, text string")
-    for block in (10_000, 9):
+    for block in (10_000, 25):
         rows = {r["doc_id"]: r for r in dc.decontaminate(docs, bench, block=block).collect()}
         for i, t in enumerate(texts):
             n, h, names = brute_hits(t, items)
@@ -127,7 +141,48 @@ def test_language_held_out_accuracy(spark, sf):
     assert sum(r["lang_pred"] == r["lang"] for r in out) >= 0.95 * len(out)
 
 
+def test_dictionary_takes_passages():
+    """A text longer than a dictionary, or without a space, does not leave it empty."""
+    assert len(li.dictionary(["x" * 200_000, "ab " * 90_000])) > 200
+    many = ["".join(chr(0x4E00 + (i * 7919 + j) % 20_000) for j in range(5000)) for i in range(40)]
+    found = li.dictionary(many)
+    assert 0.9 * li.DICT_BYTES < len(found) <= li.DICT_BYTES + 1 and many[3][:li.PASSAGE].encode() in found
+
+
+def test_language_learns_from_hot_rows(spark):
+    """A language whose rows all have one id and one text, or a null id."""
+    rows = [(None, "ein hund und eine katze", "de")] * 3000 + [(i, f"the dog number {i} and a cat", "en") for i in range(3000)]
+    model = dict(li.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_lang=5))
+    assert set(model) == {"de", "en"} and b"katze" in model["de"]
+
+
 # quality
+def test_long_texts_are_read_whole():
+    import os
+
+    noise = os.urandom(150_000).hex()
+    tail, plain = q.zipped((noise + "a" * 300_000).encode()), q.zipped(("a" * 300_000).encode())
+    assert tail > 140_000 > 5000 > plain
+
+
+def test_scores_of_many_equal_single_ones():
+    import numpy as np
+
+    m = q.FactorisationMachine(0.3)
+    rows = [q.features(t, n) for t, n in (("a b c", 5), (None, None), ("x " * 9000, 3), ("q", 1))]
+    assert np.allclose(m.scores(rows), [1 / (1 + np.exp(-m.raw(*r))) for r in rows]) and len(m.scores([])) == 0
+
+
+def test_quality_learns_from_one_row_of_an_id(spark):
+    rows = [(1, "a b", 3), (1, "c d", 3), (2, "good text", 9), (2, "other text", 9), (None, "x", 1)]
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumns({c: F.lit(0) for c in ("_text", "_y", "_stated", "row", "y", "id")})
+    a, b = (q.train(d, labels) for d in (docs, docs.orderBy(F.desc("text")).repartition(5)))
+    assert (a.w == b.w).all() and (a.v == b.v).all()
+    assert "_text" in q.score(docs, a).columns and q.score(docs, a).count() == 5
+
+
+# quality model
 def test_fm_identity():
     m = q.FactorisationMachine(size=30, rank=4, seed=1)
     m.w[:] = 0.1
