@@ -1,7 +1,7 @@
 """Language identification by compression.
 
 Each language has a raw-content dictionary for zstandard, made of passages from a bounded sample of its labelled texts
-(at most PER_LANG documents, PER_TEXT characters of each, at most DICT_BYTES of content). A text is encoded, whole and in pieces of PIECE
+(at most PER_LANG documents, PER_TEXT characters of each, at most DICT_BYTES of content); lines that languages share are left out. A text is encoded, whole and in pieces of PIECE
 bytes, with each language's dictionary; the language with the smallest total wins. `margin` is by how much the
 second smallest total exceeds it, as a share; a text without a letter, or with a margin below MIN_MARGIN, is rejected.
 
@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.llm.common import Shared, fold, mapped, ship, table
+from quern.llm.common import Shared, discard, fold, mapped, materialize, ship, table
 
 FOLDS, HELD_OUT = 4, 2
 PER_LANG = 400
@@ -59,7 +59,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1 << 20, 1 + (2 * per_lang << 20) // n))])
 
     def content(key, found):
-        texts = [t for _, t in sorted(zip(found.column("u").to_pylist(), found.column("text").to_pylist(), strict=True))]
+        texts = [t for _, t in sorted(zip(found.column("nth").to_pylist(), found.column("text").to_pylist(), strict=True))]
         return pa.table({"lang": [key[0].as_py()], "content": pa.array([dictionary(texts)], pa.binary())})
 
     def dictionaries(rows: DataFrame) -> dict[str, bytes]:
@@ -67,8 +67,16 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
         place = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - PER_TEXT + 1, F.lit(1)))
         few = rows.select("lang", u.alias("u"), F.substring(F.col("text"), (place + 1).cast("int"), F.lit(PER_TEXT)).alias("text"))
         # a task hands on at most that many rows of a language, however often a row is repeated
-        few = few.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("u", "text"))).filter(F.col("nth") <= per_lang).select("lang", "u", "text")
-        return {r[0]: bytes(r[1]) for r in few.groupBy("lang").applyInArrow(content, "lang string, content binary").collect()}
+        few = few.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("u", "text"))).filter(F.col("nth") <= per_lang)
+        few = sample = materialize(few.select("lang", "nth", "text"), "language-sample")
+        # lines that the samples of several languages share tell nothing of a language
+        lines = few.select("lang", "nth", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+        common = lines.groupBy("line").agg(F.min("lang").alias("a"), F.max("lang").alias("b")).filter("a <> b").select("line")
+        kept = lines.join(common, "line", "left_anti").groupBy("lang", "nth").agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("x"))
+        few = kept.select("lang", "nth", F.array_join(F.col("x.line"), "\n").alias("text"))
+        found = {r[0]: bytes(r[1]) for r in few.groupBy("lang").applyInArrow(content, "lang string, content binary").collect()}
+        discard(sample)
+        return found
 
     ship(docs.sparkSession)
     made = dictionaries(labelled.filter(u < share[F.col("lang")]))
