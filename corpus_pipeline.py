@@ -6,21 +6,21 @@ becomes surrogates, and the last stage mixes the sources to their target weights
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm import decontaminate, language_id, minhash, mixing, surrogates
-from quern.llm.common import fold, materialize, ship, table
+from quern.llm.common import discard, fold, materialize, reads, table
 
 
-def _as(docs: DataFrame, out: DataFrame) -> DataFrame:
-    return out.select(*docs.columns)
+def _as(docs: DataFrame, found: DataFrame, keep: str = "true", **changed: Column) -> DataFrame:
+    """The rows of found that stay, with the columns of docs; it notes the tables that found reads."""
+    return reads(found.filter(keep).withColumns(changed).select(*docs.columns), found)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    ship(spark)
     model = language_id.train(docs.filter(fold("doc_id", language_id.FOLDS) != language_id.HELD_OUT))
-    return _as(docs, language_id.identify(docs, model).filter("NOT rejected"))
+    return _as(docs, language_id.identify(docs, model), "NOT rejected")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,16 +28,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _as(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).filter("NOT contaminated"))
+    return _as(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")), "NOT contaminated")
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = surrogates.replace(docs)
-    return _as(docs, out.withColumn("n_chars", F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))))
+    n_chars = F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return _as(docs, surrogates.replace(docs), n_chars=n_chars)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.emit(mixing.mix(docs)).select(*docs.columns, "copy", "copies", "size", "target")
+    out = mixing.emit(mixing.mix(docs))
+    return reads(out.select(*docs.columns, "copy", "copies", "size", "target"), out)
 
 
 STAGES = [
@@ -55,5 +56,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        out = stage(spark, docs, sf_dir)
+        written = materialize(out, f"pipeline-{name}")
+        discard(out)  # the tables that the stage wrote for itself
+        discard(docs)  # and the stage before
+        docs = written
     return docs
