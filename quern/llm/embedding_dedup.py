@@ -90,20 +90,23 @@ def codes(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 
 
 def estimates(dim: int, code: np.ndarray, factor: np.ndarray, plane: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of queries (plane, scale) with coded vectors (code, factor), and their standard deviations; from bit counts."""
-    total, variance = np.zeros((len(plane), len(code)), np.float32), np.zeros((len(plane), len(code)), np.float32)
-    for r in range(code.shape[1]):
-        inner = np.zeros(total.shape, np.uint16)
-        for w in range(code.shape[2]):
+    """Estimated cosines of queries (plane, scale) with coded vectors (code, factor), and their standard deviations; from bit counts.
+
+    The leading axes are broadcast: all queries against all vectors, or pair by pair.
+    """
+    total, variance, rounds = 0.0, 0.0, code.shape[-2]
+    for r in range(rounds):
+        inner = 0
+        for w in range(code.shape[-1]):
             for b in range(QUERY_BITS):
-                inner += np.bitwise_count(plane[:, None, r, b, w] & code[None, :, r, w]).astype(np.uint16) << np.uint16(b)
-        ones = np.bitwise_count(code[:, r]).sum(axis=1, dtype=np.float32)
-        levels = (np.bitwise_count(plane[:, r]).sum(axis=2, dtype=np.float32) * (1 << np.arange(QUERY_BITS))).sum(axis=1)
-        least, step, f = scale[:, r, 0, None], scale[:, r, 1, None], factor[None, :, r]
-        product = 2 * (least * ones + step * inner) - (least * dim + step * levels[:, None])
-        total += (product / math.sqrt(dim) / f).astype(np.float32)
-        variance += (((1 - f**2).clip(0) / max(1, dim - 1) + step**2 / 4) / f**2).astype(np.float32)
-    return total / code.shape[1], np.sqrt(variance) / code.shape[1]
+                inner = inner + (np.bitwise_count(plane[..., r, b, w] & code[..., r, w]).astype(np.uint16) << np.uint16(b))
+        ones = np.bitwise_count(code[..., r, :]).sum(axis=-1, dtype=np.float32)
+        levels = (np.bitwise_count(plane[..., r, :, :]).sum(axis=-1, dtype=np.float32) * (1 << np.arange(QUERY_BITS))).sum(axis=-1)
+        least, step, f = scale[..., r, 0].astype(np.float32), scale[..., r, 1].astype(np.float32), factor[..., r].astype(np.float32)
+        product = 2 * (least * ones + step * inner) - (least * dim + step * levels)
+        total = total + product / np.float32(math.sqrt(dim)) / f
+        variance = variance + ((1 - f**2).clip(0) / max(1, dim - 1) + step**2 / 4) / f**2
+    return total / rounds, np.sqrt(variance) / rounds
 
 
 _CODE = ["code", "factor", "plane", "scale"]
@@ -151,12 +154,18 @@ def open_pairs(found: pa.Table, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     for s in range(0, len(left), STRIP):
         own = left[s : s + STRIP]
         to = right[right > own[0]] if same else right
-        estimate, deviation = estimates(dim, code[to], factor[to], plane[own], scale[own])
+        # the first rotation rejects most pairs, all of them together most of the rest
+        estimate, deviation = estimates(dim, code[None, to, :1], factor[None, to, :1], plane[own, None, :1], scale[own, None, :1])
         ok = estimate + EPSILON * deviation >= cosine
         if same:
             ok &= own[:, None] < to[None, :]
         i, j = np.nonzero(ok)
-        out.append((own[i], to[j]))
+        i, j = own[i], to[j]
+        if r > 1 and len(i):
+            estimate, deviation = estimates(dim, code[j], factor[j], plane[i], scale[i])
+            ok = estimate + EPSILON * deviation >= cosine
+            i, j = i[ok], j[ok]
+        out.append((i, j))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 

@@ -144,7 +144,7 @@ def test_estimate_is_unbiased_and_bounded(dim):
     b = unit(a + rng.normal(size=a.shape) * rng.choice([0.02, 0.1, 0.3], size=(300, 1)))
     code, factor, _, _ = ed.codes(b)
     _, _, plane, scale = ed.codes(a)
-    estimate, deviation = ed.estimates(dim, code, factor, plane, scale)
+    estimate, deviation = ed.estimates(dim, code[None], factor[None], plane[:, None], scale[:, None])
     true = a @ b.T
     assert (estimate + ed.EPSILON * deviation >= true).all()
     assert abs((estimate - true).mean()) < 0.01 and np.abs(np.diag(estimate - true)).mean() < 0.08
