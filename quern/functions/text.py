@@ -5,10 +5,12 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quern.storage import ship
+
 # Legal forms, address words and country names with what they become.
 LEGAL_FORMS = {
     "corp": "corporation", "corporation": "corporation", "pvt": "private", "private": "private", "ltd": "limited", "limited": "limited",
@@ -42,8 +44,16 @@ def _title(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else x.title())
 
 
+def _ready() -> None:
+    """The functions above run on executors, which need the package."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        ship(session)
+
+
 def nfkc(c: Column) -> Column:
     """NFKC. Only values that it can change are sent to Python; the others go as nulls."""
+    _ready()
     return F.coalesce(_nfkc(F.when(c.rlike(UNSTABLE), c)), c)
 
 
@@ -93,6 +103,7 @@ def clean_country(c: Column) -> Column:
     m = F.create_map(*[F.lit(x) for kv in COUNTRIES.items() for x in kv])
     plain = strip(c)
     known = F.try_element_at(m, F.lower(plain))
+    _ready()
     other = _title(F.when(known.isNull() & ~blank(c), plain))
     return F.when(blank(c), F.lit("")).otherwise(F.coalesce(known, other))
 

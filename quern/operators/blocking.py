@@ -30,7 +30,9 @@ def scored(queries: DataFrame, pool: DataFrame, profile: Blocking, allow_empty_c
     Hits are dealt out by query: sums per pair, counts per query and later ranks per query all stay in place.
     A query's hits are bounded by its tokens times the caps, so no query is hot.
     """
-    pool = pool.dropDuplicates(["entity_id"])
+    # of rows with one id always the same one; pool_of() has decided already which source's it is
+    rest = [c for c in pool.columns if c != "entity_id"]
+    pool = pool.groupBy("entity_id").agg(F.max(F.struct(*rest)).alias("x")).select("entity_id", "x.*")
     by_pair = lambda df: df.groupBy("s1_id", "cand_id").agg(F.sum("weight").alias("weight"), F.max("same_name").alias("same_name"))
     # written once, so that the counts per query do not run the key join again
     first = materialize(by_pair(_hits(queries, pool, profile, profile.kinds, allow_empty_country).repartition("s1_id")), "pairs")

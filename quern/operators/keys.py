@@ -42,9 +42,19 @@ def key_arrays(min_num_len: int = 1, pair_window: int = 2, top_tokens: int = 3,
     }
 
 
-def keys(clean: DataFrame, kinds: tuple[str, ...], min_num_len: int = 1, query: bool = False, allow_empty_country: bool = True, carry: tuple[Column, ...] = (), **how: int) -> DataFrame:
-    """One explode for all kinds, so the entities are scanned once. carry: further columns of the entity."""
-    arrays = key_arrays(min_num_len, query=query, **how)
+def archived_arrays(pair_window: int = 2, top: int = 2, min_name_len: int = 3) -> dict[str, Column]:
+    """The earlier variants: neighbours in the order of the text, each pair sorted; products of the first few tokens and numbers only."""
+    tokens = lambda c, n: F.filter(words_of(F.col(c)), lambda t: F.length(t) >= n)
+    sig, addr, num = tokens("name_significant_tokens", 2), tokens("address_tokens", 3), tokens("address_numbers", 1)
+    pairs = F.transform(_pairs(sig, pair_window), lambda x: F.array_join(F.array_sort(F.split(x, SEP)), SEP))
+    first = lambda c: F.slice(c, 1, top)
+    found = {"name": F.filter(sig, lambda t: F.length(t) >= min_name_len), "pair": pairs, "name_num": _product(first(sig), first(num)), "addr_num": _product(first(addr), first(num))}
+    return {kind: F.array_distinct(c) for kind, c in found.items()}
+
+
+def keys(clean: DataFrame, kinds: tuple[str, ...], min_num_len: int = 1, query: bool = False, allow_empty_country: bool = True, carry: tuple[Column, ...] = (), arrays: dict[str, Column] | None = None, **how: int) -> DataFrame:
+    """One explode for all kinds, so the entities are scanned once. carry: further columns of the entity; arrays: other keys than key_arrays()."""
+    arrays = arrays or key_arrays(min_num_len, query=query, **how)
 
     def tagged(kind: str) -> Column:
         return F.transform(arrays[kind], lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))

@@ -47,6 +47,7 @@ def distribution(candidates: DataFrame, queries: DataFrame, cap: int = 500, over
     return per.agg(
         total.alias("n_queries"), F.sum("n").alias("total"), F.avg("n").alias("mean"), q(0.5).alias("median"), q(0.9).alias("p90"), q(0.95).alias("p95"), q(0.99).alias("p99"), F.min("n").alias("least"), F.max("n").alias("most"),
         F.count_if(F.col("n") == 0).alias("n_zero"), (100 * F.count_if(F.col("n") == cap) / total).alias("pct_at_cap"), *[F.count_if(F.col("n") > x).alias(f"gt_{x}") for x in over],
+        *[F.round(100 * F.count_if(F.col("n") > x) / total, 2).alias(f"pct_gt_{x}") for x in over],
     )
 
 
@@ -145,18 +146,27 @@ def confusion(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     return c.withColumn("f1", fbeta(F.col("precision"), F.col("recall"), 1.0))
 
 
-def curve_areas(scored: DataFrame) -> DataFrame:
-    """Areas under the ROC and the precision-recall curve (trapezoids), from counts per distinct score, so ties are exact."""
+def curve_areas(scored: DataFrame, buckets: int = 1000) -> DataFrame:
+    """Areas under the ROC and the precision-recall curve (trapezoids), from counts per distinct score, so ties are exact.
+
+    Running counts are taken in two levels, over ranges of scores from 0 to 1 and within each, so that no task holds all scores.
+    """
     from pyspark.sql import Window as W
 
-    per = scored.groupBy("p").agg(F.sum(F.col("label").cast("long")).alias("pos"), F.sum(1 - F.col("label").cast("long")).alias("neg"))
-    down = W.orderBy(F.desc("p")).rowsBetween(W.unboundedPreceding, 0)  # one row for each distinct score
-    run = per.select("p", "pos", "neg", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"))
-    totals = scored.agg(F.sum(F.col("label").cast("long")).alias("P"), F.sum(1 - F.col("label").cast("long")).alias("N"))
+    yes = F.col("label").cast("long")
+    range_ = F.least(F.greatest(F.floor(F.col("p") * buckets), F.lit(0)), F.lit(buckets - 1))
+    per = scored.groupBy("p").agg(F.sum(yes).alias("pos"), F.sum(1 - yes).alias("neg")).withColumn("range", range_)
+    ranges = per.groupBy("range").agg(F.sum("pos").alias("in_pos"), F.sum("neg").alias("in_neg"))  # a row for each range
+    above = W.orderBy(F.desc("range")).rowsBetween(W.unboundedPreceding, -1)
+    starts = ranges.select("range", F.coalesce(F.sum("in_pos").over(above), F.lit(0)).alias("pos_above"), F.coalesce(F.sum("in_neg").over(above), F.lit(0)).alias("neg_above"))
+    down = W.partitionBy("range").orderBy(F.desc("p")).rowsBetween(W.unboundedPreceding, 0)
+    run = per.join(F.broadcast(starts), "range").select("pos", "neg", (F.sum("pos").over(down) + F.col("pos_above")).alias("tp"), (F.sum("neg").over(down) + F.col("neg_above")).alias("fp"))
+    totals = scored.agg(F.sum(yes).alias("P"), F.sum(1 - yes).alias("N"))
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    before = F.coalesce(F.lag(precision).over(W.orderBy(F.desc("p"))), F.lit(1.0))
+    tp, fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")  # before this score: its precision needs no look at the row before
+    before = F.when(tp + fp > 0, tp / (tp + fp)).otherwise(1.0)
     steps = run.select("*", (F.col("neg") * (F.col("tp") - F.col("pos") / 2)).alias("roc"), (F.col("pos") * (precision + before) / 2).alias("pr"))
-    sums = steps.agg(F.sum("roc").alias("roc"), F.sum("pr").alias("pr")).crossJoin(totals)
+    sums = steps.agg(F.sum("roc").alias("roc"), F.sum("pr").alias("pr")).crossJoin(totals)  # one row each
     return sums.select(F.round(F.col("roc") / F.nullif(F.col("P") * F.col("N"), F.lit(0)), 9).alias("roc_auc"), F.round(F.col("pr") / F.nullif(F.col("P"), F.lit(0)), 9).alias("pr_auc"))
 
 

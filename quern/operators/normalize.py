@@ -21,9 +21,13 @@ def normalize(entities: DataFrame, unicode: bool = True) -> DataFrame:
 
 
 def invariants(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    """One row: what cleaning must preserve."""
+    """One row: what cleaning must preserve. Rows of a table have no order, so ids are compared with their counts."""
+    counts = lambda df, n: df.groupBy("entity_id").agg(F.count(F.lit(1)).alias(n))
+    other = counts(raw, "a").join(counts(clean, "b"), "entity_id", "full").agg(F.count_if(~F.col("a").eqNullSafe(F.col("b"))).alias("ids_with_other_counts"))
+    missing = len(set(CLEAN_COLUMNS) - set(clean.columns)) + (tuple(clean.columns[:4]) != CLEAN_COLUMNS[:4])
     gone = raw.join(clean, "entity_id", "left_anti").agg(F.count(F.lit(1)).alias("lost_ids"))
     new = clean.join(raw, "entity_id", "left_anti").agg(F.count(F.lit(1)).alias("new_ids"))
     before = raw.agg(F.count(F.lit(1)).alias("rows_before"), F.count_if(X.blank(F.col("business_address"))).alias("no_address_before"))
     after = clean.agg(F.count(F.lit(1)).alias("rows_after"), F.count_if(F.col("business_address_clean") == "").alias("empty_clean_address"), F.count_if(X.blank(F.col("business_address"))).alias("no_address_after"))
-    return before.crossJoin(after).crossJoin(gone).crossJoin(new)  # four tables of one row
+    one_row = before.crossJoin(after).crossJoin(gone).crossJoin(new).crossJoin(other)  # five tables of one row
+    return one_row.withColumn("missing_columns", F.lit(missing).cast("long"))

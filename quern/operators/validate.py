@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quern.functions import text as X
@@ -76,23 +77,41 @@ def candidate_audit(lists: DataFrame, queries: DataFrame) -> DataFrame:
     return out
 
 
+def not_utf8(lines: DataFrame) -> DataFrame:
+    """Lines whose bytes are no UTF-8, shown with replacement characters."""
+    return lines.filter(~F.is_valid_utf8("value")).select(F.make_valid_utf8("value").alias("value"))
+
+
 def validate(spark: SparkSession, path: str, expected: tuple[str, str], queries: DataFrame | None = None, pool: DataFrame | None = None, examples: int = 5) -> DataFrame:
-    """All rules over a file: (rule, n, examples), offenders only; reading fails on a file that is missing or no text."""
+    """All rules over a file: (rule, n, examples), offenders only. A missing or empty file is an offence; each part of a file may have the header once."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).globStatus(at) is None:
+        return spark.createDataFrame([("file", 1, "file is missing")], "rule string, n long, examples string")
     lines = spark.read.text(path)
     first = lines.limit(1).collect()
-    errors = ["file is empty"] if not first else header_errors(first[0]["value"], expected)
-    body = lines.filter(F.col("value") != (first[0]["value"] if first else ""))
+    header = first[0]["value"] if first else ""
+    errors = [("file", "file is empty")] if not first else [("header", e) for e in header_errors(header, expected)]
+    is_header = F.col("value") == F.lit(header)
+    again = lines.filter(is_header).groupBy(F.input_file_name().alias("x")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("x")
+    out = spark.createDataFrame(errors, "rule string, x string").union(again.select(F.lit("repeated_header"), "x"))
+    return report(lines.filter(~is_header), queries, pool, examples, out)
+
+
+def report(body: DataFrame, queries: DataFrame | None = None, pool: DataFrame | None = None, examples: int = 5, before: DataFrame | None = None) -> DataFrame:
+    """The rules for the lines below the header: (rule, n, examples), offenders only. before: (rule, x) of earlier rules."""
     lists = id_lines(body)
-    tables = {"malformed_line": malformed(body).select(F.col("value").alias("x")), "duplicate_row": duplicate_rows(lists).select(F.col("s1_id").alias("x")), "duplicate_id": duplicate_ids(lists).select(F.col("s1_id").alias("x"))}
+    tables = {"not_utf8": not_utf8(body).select(F.col("value").alias("x")), "malformed_line": malformed(body).select(F.col("value").alias("x"))}
+    tables |= {"duplicate_row": duplicate_rows(lists).select(F.col("s1_id").alias("x")), "duplicate_id": duplicate_ids(lists).select(F.col("s1_id").alias("x"))}
     tables |= {k: t.select(F.concat_ws(">", "s1_id", "cand_id").alias("x")) for k, t in (("self_match", self_matches(lists)), ("wrong_prefix", wrong_prefix(lists)))}
     if queries is not None:
         tables["required"] = required(lists, queries).select(F.concat_ws(":", "problem", "s1_id").alias("x"))
     if pool is not None:
         tables["unknown_id"] = unknown_ids(lists, pool).select(F.concat_ws(">", "s1_id", "cand_id").alias("x"))
-    out = spark.createDataFrame([("header", e) for e in errors], "rule string, x string")
+    out = before
     for rule, t in tables.items():
-        out = out.union(t.select(F.lit(rule).alias("rule"), "x"))
-    from pyspark.sql import Window as W
-
-    ranked = out.withColumn("nth", F.row_number().over(W.partitionBy("rule").orderBy("x")))
-    return ranked.groupBy("rule").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.sort_array(F.collect_list(F.when(F.col("nth") <= examples, F.col("x")))), "; ").alias("examples"))
+        named = t.select(F.lit(rule).alias("rule"), "x")
+        out = named if out is None else out.union(named)
+    # counts are combined in the tasks that find the offenders, and of examples each task hands on a few
+    counts = out.groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    few = out.withColumn("nth", F.row_number().over(W.partitionBy("rule").orderBy("x"))).filter(F.col("nth") <= examples)
+    return counts.join(few.groupBy("rule").agg(F.array_join(F.sort_array(F.collect_list("x")), "; ").alias("examples")), "rule")

@@ -21,10 +21,12 @@ VIEWS = {
   UNION ALL SELECT concat('S1-', CAST(doc_id AS STRING)), concat('S3-', CAST(doc_id * 10 AS STRING)) FROM documents WHERE doc_id % 18 <> 0 AND doc_id % 7 <> 0""",
 }
 
-#: Small broken ID lists, as lines of a file: what the validator must find.
-LIST_LINES = (
-    "S1-0\t", "S1-1\tS2-10,S3-10", "S1-2\tS2-20,S2-20", "S1-2\tS2-20", "S1-3\tS1-3,S2-30", "S1-4\tX9-1,S2-40", "S1-5\t S2-50", "no tab here", "", "S1-6\tS2-60\tS3-60", "S1-7\tS2-70,,S3-70", "S1-999999999\tS2-80", "S1-8\tS2-999999990",
-)
+#: A broken ID-list file, a line or two for each document: what the validator must find.
+LIST_LINES = """SELECT CASE doc_id % 17 WHEN 0 THEN concat('S1-', id, chr(9)) WHEN 1 THEN concat('no tab at ', id) WHEN 2 THEN concat('S1-', id, chr(9), 'S2-', id, '0,S2-', id, '0') WHEN 3 THEN concat('S1-', id, chr(9), 'S1-', id, ',S2-', id, '0')
+  WHEN 4 THEN concat('S1-', id, chr(9), 'X9-1,S2-', id, '0') WHEN 5 THEN concat('S1-', id, chr(9), ' S2-', id, '0') WHEN 6 THEN concat('S1-', id, chr(9), 'S2-', id, '0', chr(9), 'S3-', id, '0') WHEN 7 THEN concat(' S1-', id, chr(9), 'S2-', id, '0,,S3-', id, '0')
+  WHEN 8 THEN concat('S1-9999', id, chr(9), 'S2-', id, '0') WHEN 9 THEN concat('S1-', id, chr(9), 'S2-9999', id) WHEN 10 THEN '  ' ELSE concat('S1-', id, chr(9), 'S2-', id, '0,S3-', id, '0') END AS value
+  FROM (SELECT doc_id, CAST(doc_id AS STRING) AS id FROM documents) d WHERE doc_id % 41 <> 0
+  UNION ALL SELECT concat('S1-', CAST(doc_id AS STRING), chr(9), 'S2-', CAST(doc_id AS STRING), '0') FROM documents WHERE doc_id % 13 = 0"""
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = None) -> DataFrame:
@@ -40,3 +42,8 @@ def view(spark: SparkSession, sf_dir: str, name: str, base: DataFrame | None = N
 def ctes() -> str:
     """The views as CTEs over a table documents."""
     return ",\n".join(f"{name} AS ({sql})" for name, sql in VIEWS.items())
+
+
+def list_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(value) of LIST_LINES."""
+    return spark.sql(f"WITH documents AS (SELECT doc_id FROM parquet.`{sf_dir}/documents.parquet`) {LIST_LINES}")

@@ -149,10 +149,16 @@ base("norm_name", "SELECT entity_id, business_name_clean, business_name_clean AS
 base("norm_addr", "SELECT entity_id, business_address_clean, address_numbers, business_address_clean AS address_tokens FROM clean")
 base("norm_country", "SELECT entity_id, country, country_clean FROM clean")
 base("norm_tokens_exploded", "SELECT token, count(*) AS n, count(DISTINCT entity_id) AS n_entities FROM (SELECT entity_id, unnest(nw) AS token FROM words) GROUP BY token")
-base("norm_invariants", "SELECT count(*) AS rows_before, count(*) FILTER (trim(business_address) = '') AS no_address_before, count(*) AS rows_after, count(*) FILTER (business_address_clean = '') AS empty_clean_address, count(*) FILTER (trim(business_address) = '') AS no_address_after, 0::BIGINT AS lost_ids, 0::BIGINT AS new_ids FROM clean")
+base("norm_invariants", "SELECT count(*) AS rows_before, count(*) FILTER (trim(business_address) = '') AS no_address_before, count(*) AS rows_after, count(*) FILTER (business_address_clean = '') AS empty_clean_address, count(*) FILTER (trim(business_address) = '') AS no_address_after, 0::BIGINT AS lost_ids, 0::BIGINT AS new_ids, 0::BIGINT AS ids_with_other_counts, 0::BIGINT AS missing_columns FROM clean")
 # keys
 for _kind in ("name", "addr", "num", "prefix", "exact", "pair", "name_num", "addr_num"):
     on_keys(f"keys_{_kind}", f"SELECT entity_id, country, replace(key, {SEP}, '|') AS key FROM k WHERE kind = '{_kind}'")
+_TOP = "SELECT entity_id, country_clean AS country, list_filter(string_split(name_significant_tokens, ' '), lambda x: length(x) >= 2) AS ts, list_filter(string_split(business_address_clean, ' '), lambda x: length(x) >= 3) AS ad, list_filter(string_split(address_numbers, ' '), lambda x: length(x) >= 1) AS nu FROM clean"
+base("keys_archived", f"""SELECT DISTINCT entity_id, country, kind, replace(key, {SEP}, '|') AS key FROM (
+  SELECT entity_id, country, 'name' AS kind, t AS key FROM (SELECT *, unnest(ts) AS t FROM ({_TOP})) WHERE length(t) >= 3
+  UNION ALL SELECT entity_id, country, 'pair', least(ts[i], ts[i + d]) || {SEP} || greatest(ts[i], ts[i + d]) FROM ({_TOP}), (SELECT unnest(range(1, 60)) AS i), (SELECT unnest([1, 2]) AS d) WHERE i + d <= len(ts)
+  UNION ALL SELECT entity_id, country, 'name_num', a || {SEP} || b FROM (SELECT *, unnest(ts[1:2]) AS a FROM ({_TOP})) x, LATERAL (SELECT unnest(x.nu[1:2]) AS b)
+  UNION ALL SELECT entity_id, country, 'addr_num', a || {SEP} || b FROM (SELECT *, unnest(ad[1:2]) AS a FROM ({_TOP})) x, LATERAL (SELECT unnest(x.nu[1:2]) AS b))""")
 _FOUR = "('name', 'addr', 'num', 'prefix')"
 on_keys("posting_stats", f"SELECT kind, country, key, count(DISTINCT entity_id) AS posting_count FROM k WHERE source <> 'S1' AND kind IN {_FOUR} GROUP BY kind, country, key")
 on_cands("posting_capped", f"SELECT kind, country, count(*) AS n_postings, count(DISTINCT key) AS n_keys FROM post WHERE kind IN {_FOUR} GROUP BY kind, country")
@@ -164,17 +170,22 @@ on_cands("cand_evidence_topk", "SELECT s1_id, cand_id, score, evidence_rank FROM
 on_cands("cand_v2_scores", "SELECT s1_id, cand_id, score FROM scored", chain=_COMPOSITE)
 on_cands("cand_v2_topk", "SELECT s1_id, cand_id, score, evidence_rank FROM cands", chain=_COMPOSITE)
 on_cands("cand_evidence_full_caps", "SELECT s1_id, cand_id, score FROM scored", chain=_candidates(PROFILES["evidence"]))
+for _name, _profile in {"cand_union_full": "union", "cand_balanced_350": "balanced", "cand_evidence_350": "evidence", "cand_emergency_350": "emergency", "cand_composite_500": "composite"}.items():
+    on_cands(_name, "SELECT s1_id, cand_id, score, evidence_rank FROM cands", chain=_candidates(PROFILES[_profile], _profile != "union"))
 on_cands("cand_id_rank", "SELECT s1_id, cand_id, row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) AS candidate_rank, count(*) OVER (PARTITION BY s1_id) AS total_candidates FROM cands")
 on_cands("cand_static_cap", "SELECT s1_id, cand_id FROM cands QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY cand_id) <= 4")
 _PER = "per AS (SELECT s.entity_id, count(c.cand_id) AS n FROM fx_source1 s LEFT JOIN {0} c ON c.s1_id = s.entity_id GROUP BY s.entity_id)"
-on_cands("cand_distribution", """SELECT count(*) AS n_queries, sum(n)::BIGINT AS total, avg(n) AS mean, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.9) AS p90, quantile_cont(n, 0.95) AS p95, quantile_cont(n, 0.99) AS p99, min(n) AS least, max(n) AS most,
-  count(*) FILTER (n = 0) AS n_zero, 100 * count(*) FILTER (n = 10)::DOUBLE / count(*) AS pct_at_cap, count(*) FILTER (n > 2) AS gt_2, count(*) FILTER (n > 5) AS gt_5, count(*) FILTER (n > 8) AS gt_8 FROM per""", _PER.format("cands"))
+on_cands("cand_distribution", "SELECT count(*) AS n_queries, sum(n)::BIGINT AS total, avg(n) AS mean, quantile_cont(n, 0.5) AS median, quantile_cont(n, 0.9) AS p90, quantile_cont(n, 0.95) AS p95, quantile_cont(n, 0.99) AS p99, min(n) AS least, max(n) AS most, count(*) FILTER (n = 0) AS n_zero, 100 * count(*) FILTER (n = 10)::DOUBLE / count(*) AS pct_at_cap, count(*) FILTER (n > 2) AS gt_2, count(*) FILTER (n > 5) AS gt_5, count(*) FILTER (n > 8) AS gt_8, " + ", ".join(f"round(100 * count(*) FILTER (n > {x})::DOUBLE / count(*), 2) AS pct_gt_{x}" for x in (2, 5, 8)) + " FROM per", _PER.format("cands"))
 on_cands("cand_list_render", "SELECT s.entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS candidate_entity_ids FROM fx_source1 s LEFT JOIN cands ON s1_id = s.entity_id GROUP BY s.entity_id")
 on_cands("cand_cross_country", "SELECT s1_id, cand_id FROM cands JOIN clean a ON a.entity_id = s1_id JOIN clean b ON b.entity_id = cand_id WHERE a.country_clean <> b.country_clean")
 on_cands("cand_growth", "SELECT (SELECT count(*) FROM cands WHERE evidence_rank <= 5) AS total_before, sum(n)::BIGINT AS total_after, 100 * (sum(n) - (SELECT count(*) FROM cands WHERE evidence_rank <= 5))::DOUBLE / (SELECT count(*) FROM cands WHERE evidence_rank <= 5) AS growth_pct, avg(n) * 3938000 * 12 / 1e9::DOUBLE AS disk_gb FROM per", _PER.format("cands"))
 # features and decisions
 on_vectors("feat16", f"SELECT s1_id, cand_id, {', '.join(FEATURES)} FROM vec")
 on_vectors("feat20", f"SELECT s1_id, cand_id, {', '.join(EXTRA)} FROM vec")
+# the letters beyond ASCII stand for themselves as capitals, which clean names lack: the oracle's edit distance counts bytes
+_ASCII = "translate({0}, 'àáâäæçèéêëíîïñóôöœùúûüß', 'ABCDEFGHIJKLMNOPQRSTUVW')"
+_EDIT = [_ASCII.format(x) for x in _NAME]
+on_vectors("feat_edit", f"SELECT s1_id, cand_id, CASE WHEN greatest(length({_NAME[0]}), length({_NAME[1]})) = 0 THEN 1.0::DOUBLE ELSE 1 - levenshtein({_EDIT[0]}, {_EDIT[1]})::DOUBLE / greatest(length({_NAME[0]}), length({_NAME[1]})) END AS edit_similarity FROM ranked JOIN side a ON a.entity_id = s1_id JOIN side b ON b.entity_id = cand_id")
 on_vectors("feat_sanity", "SELECT count(*) AS n_pairs, 16::BIGINT AS n_features, 0::BIGINT AS n_nan, 0::BIGINT AS n_infinite, 0::BIGINT AS n_null FROM vec")
 on_vectors("labels", "SELECT s1_id, cand_id, label FROM vec")
 on_vectors("grouped_split", "SELECT s1_id, cand_id, substr(s1_id, 4)::BIGINT % 100 < 80 AS is_train FROM vec")
@@ -228,9 +239,17 @@ on_vectors("eval_threshold_grid", "SELECT * FROM grid", _GRID_CTE)
 on_vectors("eval_threshold_best", "SELECT * FROM grid ORDER BY f05 DESC, t_us, t_india, t_other LIMIT 1", _GRID_CTE)
 _RUNS = " UNION ALL ".join(f"SELECT '{n}' AS experiment, {F05} AS f05, recall_ AS recall FROM (SELECT {_PR} FROM {_MICRO.format('m_' + n)})" for n in POLICIES)
 on_vectors("exp_deltas", f"SELECT r.experiment, r.f05 - b.f05 AS delta_f05, r.recall - b.recall AS delta_recall, r.f05 > b.f05 AS retained FROM ({_RUNS}) r, ({_RUNS}) b WHERE b.experiment = 'global'", *[_decided(p, f"m_{n}") for n, p in POLICIES.items()])
+# sources, sinks and streams
+_ENTS = "SELECT source, entity_id, business_name, business_address, country FROM ents"
+base("io_tsv", _ENTS)
+base("io_ids", "SELECT entity_id FROM ents")
+base("io_known", "SELECT entity_id, business_name FROM ents WHERE source = 'S2' AND entity_id IN (SELECT cand_id FROM fx_gt_pairs)")
+ORACLES["io_id_lists"] = f"WITH {BASE}, {_GT_LISTS} SELECT source1_entity_id AS s1_id, matched_entity_ids AS ids FROM gt_lists"
+ORACLES["io_resume"] = ORACLES["io_id_lists"]
+base("io_status", "SELECT * FROM (VALUES ('S1', true, true), ('S2', true, true), ('S3', true, true), ('S4', false, false)) t(source, found, parsable)")
+on_cands("stream_scoring", "SELECT s1_id, cand_id, score, evidence_rank FROM cands")
 # validation
-_VALUES = ", ".join("('" + v.replace("\t", "' || chr(9) || '") + "')" for v in fixtures.LIST_LINES)
-LISTS = f"""lines AS (SELECT * FROM (VALUES {_VALUES}) t(value)),
+LISTS = f"""lines AS ({fixtures.LIST_LINES}),
 lists AS (SELECT trim(substr(value, 1, instr(value, chr(9)) - 1)) AS s1_id, substr(value, instr(value, chr(9)) + 1) AS ids FROM lines WHERE trim(value) <> '' AND contains(value, chr(9))),
 each_ AS (SELECT * FROM (SELECT s1_id, unnest(string_split(ids, ',')) AS cand_id FROM lists) WHERE trim(cand_id) <> '')"""
 
@@ -244,6 +263,9 @@ on_lists("val_dup_rows", "SELECT s1_id, count(*) AS n FROM lists GROUP BY s1_id
 on_lists("val_dup_ids", "SELECT s1_id, (len(l) - len(list_distinct(l)))::BIGINT AS n_repeats FROM (SELECT s1_id, list_filter(string_split(ids, ','), lambda x: x <> '') AS l FROM lists) WHERE len(l) <> len(list_distinct(l))")
 on_lists("val_self", "SELECT s1_id, cand_id FROM each_ WHERE cand_id LIKE 'S1-%'")
 on_lists("val_prefix", "SELECT s1_id, cand_id FROM each_ WHERE NOT regexp_matches(cand_id, '^S[123]-')")
+on_lists("val_report", """SELECT * FROM (SELECT 'malformed_line' AS rule, count(*) AS n FROM lines WHERE trim(value) <> '' AND NOT contains(value, chr(9)) UNION ALL SELECT 'duplicate_row', count(*) FROM (SELECT s1_id FROM lists GROUP BY s1_id HAVING count(*) > 1)
+UNION ALL SELECT 'duplicate_id', count(*) FROM (SELECT list_filter(string_split(ids, ','), lambda x: x <> '') AS l FROM lists) WHERE len(l) <> len(list_distinct(l)) UNION ALL SELECT 'self_match', count(*) FROM each_ WHERE cand_id LIKE 'S1-%' UNION ALL SELECT 'wrong_prefix', count(*) FROM each_ WHERE NOT regexp_matches(cand_id, '^S[123]-')
+UNION ALL SELECT 'required', (SELECT count(*) FROM fx_source1 WHERE entity_id NOT IN (SELECT s1_id FROM lists)) + (SELECT count(DISTINCT s1_id) FROM lists WHERE s1_id NOT IN (SELECT entity_id FROM fx_source1)) UNION ALL SELECT 'unknown_id', count(*) FROM each_ WHERE cand_id NOT IN (SELECT entity_id FROM ents WHERE source <> 'S1')) WHERE n > 0""")
 on_lists("val_unknown", "SELECT s1_id, cand_id FROM each_ WHERE cand_id NOT IN (SELECT entity_id FROM ents WHERE source <> 'S1')")
 on_lists("val_required", "SELECT entity_id AS s1_id, 'missing' AS problem FROM fx_source1 WHERE entity_id NOT IN (SELECT s1_id FROM lists) UNION ALL SELECT DISTINCT s1_id, 'unexpected' FROM lists WHERE s1_id NOT IN (SELECT entity_id FROM fx_source1)")
 on_lists("val_summary", "SELECT count(*) AS n_rows, count(*) FILTER (n = 0) AS n_empty, count(*) FILTER (n > 0) AS n_non_empty, sum(n)::BIGINT AS n_ids FROM (SELECT len(list_filter(string_split(ids, ','), lambda x: trim(x) <> '')) AS n FROM lists)")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,9 +13,10 @@ from quern.operators import audit, blocking, decide, features, keys, metrics, mo
 from quern.operators.normalize import invariants, normalize
 from quern.plans import fixtures
 from quern.plans.linkage import Linkage
-from quern.schema import POLICIES, PROFILES
+from quern.schema import ENTITY, POLICIES, PROFILES
 from quern.sources import tsv
-from quern.storage import ship
+from quern.storage import shared_dir, ship
+from quern.streaming import scoring
 
 THRESHOLDS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 GRID = (0.21, 0.31, 0.41, 0.52, 0.62)
@@ -63,6 +65,7 @@ query(lambda x: normalize(x.entities.drop("source").withColumn("business_name",
 # keys
 for _kind in ("name", "addr", "num", "prefix", "exact", "pair", "name_num", "addr_num"):
     _key_query(_kind)
+query(lambda x: keys.keys(x.clean, ("name", "pair", "name_num", "addr_num"), arrays=keys.archived_arrays()).withColumn("key", F.regexp_replace("key", "\u0001", "|")), "keys_archived")
 query(lambda x: keys.posting_stats(keys.keys(x.pool, ("name", "addr", "num", "prefix"))), "posting_stats")
 query(lambda x: keys.capped(keys.keys(x.pool, ("name", "addr", "num", "prefix")).distinct(), x.profile).groupBy("kind", "country").agg(F.count(F.lit(1)).alias("n_postings"), F.countDistinct("key").alias("n_keys")), "posting_capped")
 # candidates
@@ -72,6 +75,11 @@ query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"
 query(lambda x: x.scored, "cand_v2_scores", "fixture_composite")
 query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_v2_topk", "fixture_composite")
 query(lambda x: blocking.scored(x.s1, x.pool, x.profile), "cand_evidence_full_caps", "evidence")
+# the same at the sizes of real runs
+_RANKED = ("s1_id", "cand_id", "score", "evidence_rank")
+query(lambda x: blocking.top_k(blocking.scored(x.s1, x.pool, x.profile, allow_empty_country=False), 10**9).select(*_RANKED), "cand_union_full", "union")
+for _name, _profile in {"cand_balanced_350": "balanced", "cand_evidence_350": "evidence", "cand_emergency_350": "emergency", "cand_composite_500": "composite"}.items():
+    query(lambda x: x.candidates.select(*_RANKED), _name, _profile)
 query(lambda x: blocking.with_ranks(x.candidates).select("s1_id", "cand_id", F.col("candidate_rank").cast("long").alias("candidate_rank"), "total_candidates"), "cand_id_rank")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "id")), "cand_static_cap")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "hash")), "cand_unranked_cap")
@@ -127,9 +135,9 @@ def _deltas(x: Linkage) -> DataFrame:
 query(_deltas, "exp_deltas")
 
 
-# validation, over the small broken file of the fixtures
+# validation, over the broken file of the fixtures
 def _lines(x: Linkage) -> DataFrame:
-    return x.spark.createDataFrame([(v,) for v in fixtures.LIST_LINES], "value string")
+    return fixtures.list_lines(x.spark, x.sf_dir)
 
 
 def _lists(x: Linkage) -> DataFrame:
@@ -144,6 +152,7 @@ query(lambda x: validate.wrong_prefix(_lists(x)), "val_prefix")
 query(lambda x: validate.unknown_ids(_lists(x), x.raw(2).union(x.raw(3))), "val_unknown")
 query(lambda x: validate.required(_lists(x), x.raw(1)), "val_required")
 query(lambda x: validate.summary(_lists(x)), "val_summary")
+query(lambda x: validate.report(_lines(x), x.raw(1), x.raw(2).union(x.raw(3))).select("rule", "n"), "val_report")
 
 
 def _subset(x: Linkage) -> DataFrame:
@@ -155,14 +164,83 @@ query(_subset, "val_subset")
 query(lambda x: validate.candidate_audit(blocking.as_lists(x.candidates, x.s1, "ids").withColumnRenamed("source1_entity_id", "s1_id"), x.s1), "val_candidate_audit")
 
 
+# sources, sinks and streams, through files in the shared folder
+def _folder(x: Linkage) -> str:
+    return f"{shared_dir(x.spark).rstrip('/')}/quern-io-{uuid.uuid4().hex}"
+
+
+def _written_tsv(x: Linkage) -> str:
+    at = _folder(x)
+    for n in (1, 2, 3):
+        tsv.write_tsv(x.raw(n), f"{at}/S{n}")
+    return at
+
+
+def _tsv(x: Linkage) -> DataFrame:
+    at = _written_tsv(x)
+    return audit.with_source(*[tsv.read_tsv(x.spark, f"{at}/S{n}") for n in (1, 2, 3)]).select("source", *ENTITY.fieldNames())
+
+
+def _ids(x: Linkage) -> DataFrame:
+    at = _written_tsv(x)
+    return tsv.read_ids(x.spark, f"{at}/S1").union(tsv.read_ids(x.spark, f"{at}/S2")).union(tsv.read_ids(x.spark, f"{at}/S3"))
+
+
+def _known(x: Linkage) -> DataFrame:
+    at = _written_tsv(x)
+    return tsv.read_only_known(tsv.read_tsv(x.spark, f"{at}/S2", columns=("entity_id", "business_name")), x.truth.select(F.col("cand_id").alias("entity_id")))
+
+
+def _id_lists(x: Linkage) -> DataFrame:
+    at = _folder(x)
+    tsv.write_id_lists(x.truth_lists, at)
+    return tsv.read_id_lists(x.spark, at)
+
+
+def _resumed(x: Linkage) -> DataFrame:
+    """Written in two runs, of which the first has a part of the queries."""
+    at, queries = _folder(x), x.raw(1).select("entity_id")
+    lists = x.truth_lists
+    make = lambda todo: lists.join(todo.select(F.col("entity_id").alias("source1_entity_id")), "source1_entity_id", "left_semi").select(*lists.columns)
+    tsv.append_remaining(queries.filter(F.col("entity_id").endswith("3")), at, make)
+    tsv.append_remaining(queries, at, make)
+    return tsv.read_id_lists(x.spark, at)
+
+
+def _status(x: Linkage) -> DataFrame:
+    at = _written_tsv(x)
+    found = tsv.file_status(x.spark, [f"{at}/S{n}" for n in (1, 2, 3, 4)])
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("source"), "found", "parsable")
+
+
+def _streamed(x: Linkage) -> DataFrame:
+    """The queries arrive as files and are ranked batch by batch."""
+    at, pool = _written_tsv(x), x.pool
+    make = lambda batch: blocking.top_k(blocking.scored(normalize(batch), pool, x.profile), x.profile.top_k)
+    scoring.score_files(x.spark, f"{at}/S1", f"{at}/out", f"{at}/checkpoint", make, files_per_batch=2)
+    return x.spark.read.parquet(f"{at}/out").select("s1_id", "cand_id", "score", "evidence_rank")
+
+
+for _name, _make in {"io_tsv": _tsv, "io_ids": _ids, "io_known": _known, "io_id_lists": _id_lists, "io_resume": _resumed, "io_status": _status, "stream_scoring": _streamed}.items():
+    query(_make, _name)
+
+
 # beyond SQL
-def _gbt(x: Linkage) -> DataFrame:
+def _gbt(x: Linkage, names: tuple[str, ...] = features.FEATURES, **how) -> DataFrame:
     split = features.grouped_split(x.vectors)
-    fitted = model.train(split.filter("is_train").drop("p"), rounds=10, depth=4)
-    return metrics.confusion(model.score(fitted, split.filter("NOT is_train").drop("p")).select("p", "label"))
+    fitted = model.train(split.filter("is_train").drop("p"), names, **how)
+    scored = model.score(fitted, split.filter("NOT is_train").drop("p")).select("p", "label")
+    return metrics.confusion(scored).crossJoin(metrics.curve_areas(scored))  # one row each
+
+
+def _challenger(x: Linkage) -> DataFrame:
+    """16 against 20 features on the same split, with smaller models than model_gbt's."""
+    runs = [_gbt(x, names, rounds=20, depth=5).withColumn("n_features", F.lit(len(names)).cast("long")) for names in (features.FEATURES, (*features.FEATURES, *features.EXTRA))]
+    return runs[0].union(runs[1])
 
 
 query(_gbt, "model_gbt")
+query(_challenger, "model_challenger")
 
 
 def _sha(x: Linkage) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from quern.functions import text as X
 from quern.schema import ENTITY
 
-_OPTIONS = {"sep": "\t", "header": True, "quote": '"', "escape": '"'}
+_OPTIONS = {"sep": "\t", "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}  # the writer drops outer spaces by default
 
 
 def read_tsv(spark: SparkSession, path: str, schema: T.StructType = ENTITY, columns: tuple[str, ...] | None = None, na_literals: bool = False) -> DataFrame:

@@ -52,3 +52,67 @@ def test_model_round_trip(spark, sf, tmp_path):
     model.save(fitted, f"file://{tmp_path}/m")
     a, b = (model.score(m, v.drop("p")).agg({"p": "sum"}).first()[0] for m in (fitted, model.load(f"file://{tmp_path}/m")))
     assert abs(a - b) < 1e-9
+
+
+def test_validation_of_files(spark, tmp_path):
+    """Missing and empty files, bytes that are no UTF-8, a header that comes again, several parts."""
+    from quern.operators import validate
+
+    names = ("source1_entity_id", "matched_entity_ids")
+    found = lambda at: {r["rule"]: (r["n"], r["examples"]) for r in validate.validate(spark, f"file://{at}", names).collect()}
+    assert found(tmp_path / "none") == {"file": (1, "file is missing")}
+    (tmp_path / "empty.tsv").write_bytes(b"")
+    assert found(tmp_path / "empty.tsv") == {"file": (1, "file is empty")}
+    head = "\t".join(names).encode()
+    (tmp_path / "bad.tsv").write_bytes(head + b"\nS1-1\tS2-\xe9\nS1-2\tS2-2\n" + head + b"\nS1-3\tS2-\xc3\xa9\n")
+    bad = found(tmp_path / "bad.tsv")
+    assert bad["not_utf8"][0] == 1 and bad["repeated_header"][0] == 1 and set(bad) == {"not_utf8", "repeated_header"}
+    (tmp_path / "parts").mkdir()
+    for i in (1, 2):
+        (tmp_path / "parts" / f"{i}.tsv").write_bytes(head + f"\nS1-{i}\tS2-{i}\n".encode())
+    assert found(tmp_path / "parts") == {}
+    lines = spark.createDataFrame([(f"S1-{i}\tS1-{i}",) for i in range(500)], "value string").repartition(7)
+    assert [(r["rule"], r["n"], r["examples"].count(">")) for r in validate.report(lines).collect()] == [("self_match", 500, 5)]
+
+
+def test_areas_with_many_scores(spark):
+    """Ranges of scores change nothing, also for ties, scores outside of 0 to 1 and one range."""
+    import random
+
+    from quern.operators import metrics
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([rnd.random(), 0.5, 1.0, -0.5, 2.0]), int(rnd.random() < 0.3)) for _ in range(900)]
+    df = spark.createDataFrame(rows, "p double, label int")
+    pos, neg = ([p for p, y in rows if y == k] for k in (1, 0))
+    want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
+    got = [metrics.curve_areas(df, n).first() for n in (1, 7, 1000)]
+    assert all(abs(g["roc_auc"] - want) < 1e-8 and g["pr_auc"] == got[0]["pr_auc"] for g in got)
+
+
+def test_pool_keeps_the_same_row(spark):
+    from quern.operators import blocking
+    from quern.operators.normalize import normalize
+
+    entity = "entity_id string, business_name string, business_address string, country string"
+    s1 = normalize(spark.createDataFrame([("S1-1", "red mill", "1 a road", "US")], entity))
+    pool = normalize(spark.createDataFrame([("S2-1", n, "1 a road", "US") for n in ("red mill", "blue mill", "mill red")], entity))
+    profile = PROFILES["evidence"]
+    got = [sorted(map(tuple, blocking.scored(s1, p, profile).collect())) for p in (pool, pool.orderBy("business_name"), pool.repartition(3))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 1
+
+
+def test_shared_folder_must_be_named_on_a_cluster():
+    import pytest
+
+    from quern import storage
+
+    class Session:
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError):
+        storage.shared_dir(Session)
