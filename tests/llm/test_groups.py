@@ -395,6 +395,20 @@ def test_base_and_gain(spark, sf):
     assert mean("score") > mean("base_score")
 
 
+def test_long_words_are_counted_outside_the_head(spark, monkeypatch):
+    monkeypatch.setattr(hm, "DISTINCT_BYTES", 1)
+    long_ = "Q" * 5000
+    texts = {i: f"{long_} b {long_} c{i}" for i in range(6)} | {6: f"b {long_.lower()} new", 7: "é" * 33}
+    out = hm.train_and_score(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), F.col("doc_id") < 6, top=2, head=3)
+    words = {i: [*hm.words_of(t), None] for i, t in texts.items()}
+    c = Counter(w for i in range(6) for w in words[i])
+    n, v = sum(c.values()), len(c)
+    for r in out.collect():
+        own = words[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(own), sum(c[w] > 0 for w in own), n)
+        assert abs(r["base_score"] - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own)) < 1e-9 and math.isfinite(r["score"])
+
+
 def test_scores_sum_to_at_most_one(spark):
     """All texts of up to two words over the known words, and one unknown."""
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "b a a", "c", ""] * 3)], "doc_id long, text string")
