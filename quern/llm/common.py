@@ -5,15 +5,11 @@ from __future__ import annotations
 import hashlib
 import pickle
 import zlib
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from quern.storage import discard, materialize, reads, shared_dir, ship
-
-ARROW_BYTES = 8 << 20  # of an Arrow batch
+from quern.storage import discard, mapped, materialize, reads, shared_dir, ship
 
 #: White space that ends a word: space and the characters tab to carriage return.
 #: bytes.split() without arguments splits at exactly these, bytes.lower() lowers A-Z only.
@@ -42,16 +38,6 @@ def free_name(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
-def mapped(df: DataFrame, run: Callable, schema: T.StructType | str) -> DataFrame:
-    """mapInArrow with batches that are bounded by bytes, and with the package on the executors."""
-    spark = df.sparkSession
-    ship(spark)
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(spark.conf.get(name).rstrip("b")) > ARROW_BYTES:
-        spark.conf.set(name, str(ARROW_BYTES))
-    return df.mapInArrow(run, schema)
-
-
 class Shared:
     """A broadcast value of bounded size; workers keep what they build of it by a hash of its content."""
 

@@ -29,9 +29,7 @@ def truth_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 def candidates(queries: DataFrame, pool: DataFrame, profile: Blocking, rank_mode: str = "evidence") -> DataFrame:
     """Ranked candidates with pool sizes; rank_mode: what the feature candidate_rank tells."""
-    scored = blocking.scored(queries, pool, profile)
-    top = blocking.top_k(scored, profile.top_k) if profile.top_k else scored
-    return blocking.with_ranks(top, rank_mode)
+    return blocking.with_ranks(blocking.ranked(queries, pool, profile, profile.top_k), rank_mode)
 
 
 def vectors(ranked: DataFrame, queries: DataFrame, pool: DataFrame, extra: bool = False) -> DataFrame:

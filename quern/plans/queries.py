@@ -71,15 +71,15 @@ query(lambda x: keys.capped(keys.keys(x.pool, ("name", "addr", "num", "prefix"))
 # candidates
 query(lambda x: _plain(blocking.union_candidates(x.s1, x.pool, x.profile)), "cand_v1_union", "fixture_union")
 query(lambda x: x.scored, "cand_evidence_scores")
-query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_evidence_topk")
+query(lambda x: x.ranked.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_evidence_topk")
 query(lambda x: x.scored, "cand_v2_scores", "fixture_composite")
-query(lambda x: x.candidates.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_v2_topk", "fixture_composite")
+query(lambda x: x.ranked.select("s1_id", "cand_id", "score", "evidence_rank"), "cand_v2_topk", "fixture_composite")
 query(lambda x: blocking.scored(x.s1, x.pool, x.profile), "cand_evidence_full_caps", "evidence")
 # the same at the sizes of real runs
 _RANKED = ("s1_id", "cand_id", "score", "evidence_rank")
-query(lambda x: blocking.top_k(blocking.scored(x.s1, x.pool, x.profile, allow_empty_country=False), 10**9).select(*_RANKED), "cand_union_full", "union")
+query(lambda x: blocking.ranked(x.s1, x.pool, x.profile, allow_empty_country=False).select(*_RANKED), "cand_union_full", "union")
 for _name, _profile in {"cand_balanced_350": "balanced", "cand_evidence_350": "evidence", "cand_emergency_350": "emergency", "cand_composite_500": "composite"}.items():
-    query(lambda x: x.candidates.select(*_RANKED), _name, _profile)
+    query(lambda x: x.ranked.select(*_RANKED), _name, _profile)
 query(lambda x: blocking.with_ranks(x.candidates).select("s1_id", "cand_id", F.col("candidate_rank").cast("long").alias("candidate_rank"), "total_candidates"), "cand_id_rank")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "id")), "cand_static_cap")
 query(lambda x: _plain(blocking.top_k(x.candidates.drop("evidence_rank"), 4, "hash")), "cand_unranked_cap")
@@ -216,7 +216,7 @@ def _status(x: Linkage) -> DataFrame:
 def _streamed(x: Linkage) -> DataFrame:
     """The queries arrive as files and are ranked batch by batch."""
     at, pool = _written_tsv(x), x.pool
-    make = lambda batch: blocking.top_k(blocking.scored(normalize(batch), pool, x.profile), x.profile.top_k)
+    make = lambda batch: blocking.ranked(normalize(batch), pool, x.profile, x.profile.top_k)
     scoring.score_files(x.spark, f"{at}/S1", f"{at}/out", f"{at}/checkpoint", make, files_per_batch=2)
     return x.spark.read.parquet(f"{at}/out").select("s1_id", "cand_id", "score", "evidence_rank")
 

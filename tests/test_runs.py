@@ -116,3 +116,38 @@ def test_shared_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(ValueError):
         storage.shared_dir(Session)
+
+
+def test_ranking_writes_no_row_per_pair(spark, monkeypatch):
+    """Every query meets every entity; blocks are small, ids repeat with two names, and ties are ordered by id."""
+    from pathlib import Path
+
+    from quern.operators import blocking
+    from quern.operators.normalize import normalize
+    from quern.storage import shared_dir
+
+    entity = "entity_id string, business_name string, business_address string, country string"
+    words = ("red", "blue", "old", "new")
+    s1 = normalize(spark.createDataFrame([(f"S1-{i % 190}", f"mill {words[i % 4]} {i % 7}", "", "US") for i in range(200)], entity))
+    pool = normalize(spark.createDataFrame([(f"S2-{i}", f"mill {words[i % 3]} {i % 7}", "", "US") for i in range(200)], entity))
+    profile = PROFILES["composite"]
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("quern-*"))
+    results = []
+    for hits in (blocking.TASK_HITS, 3000):
+        monkeypatch.setattr(blocking, "TASK_HITS", hits)
+        monkeypatch.setattr(blocking, "BLOCK_HITS", hits * 4)
+        monkeypatch.setattr(blocking, "ROWS", 777)
+        results.append(sorted(map(tuple, blocking.ranked(s1, pool, profile, 23).collect())))
+    written = [spark.read.parquet(str(p)).count() for p in set(shared.glob("quern-*")) - before if any(p.glob("*.parquet"))]
+    assert 0 < max(written) < 200 * 20
+    every = blocking.scored(s1, pool, profile)
+    assert every.count() == 190 * 200
+    assert results[0] == results[1] == sorted(map(tuple, blocking.top_k(every, 23).select("s1_id", "cand_id", "score", "evidence_rank").collect()))
+    # an id with two names gains by both
+    gained = {r["cand_id"]: r["score"] for r in every.filter("s1_id = 'S1-0'").collect()}
+    names = {r["entity_id"]: r["business_name_clean"] for r in pool.collect()}
+    own = {r["business_name_clean"] for r in s1.filter("entity_id = 'S1-0'").collect()}
+    assert len(own) == 2
+    least = {n: min(s for c, s in gained.items() if names[c] == n) for n in own & set(names.values())}
+    assert least and min(least.values()) > 10
