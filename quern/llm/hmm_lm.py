@@ -7,9 +7,8 @@ of a text is a symbol too. So the model is a distribution over texts, and the sc
 text's exact probability, whatever its length.
 
 Baum-Welch: every round runs forward and backward over whole training texts in all partitions; each task sums its expected
-counts (a table bounded by the symbols), and those are summed across tasks. The first rounds separate the states over one
-document in SHARE; the last ones, until the log-likelihood hardly rises, go over all. Texts longer than SEGMENT are laid out as
-several segments; each segment's transfer matrix gives the exact forward vector it starts with and the backward vector it ends with.
+counts (a table bounded by the symbols), and those are summed across tasks. Rounds end when the log-likelihood hardly rises.
+Texts longer than SEGMENT are laid out as several segments; each segment's transfer matrix gives the exact forward vector it starts with and the backward vector it ends with.
 
 Counts of words outside the HEAD most frequent, and of longer words, are joined by the word, pre-aggregated per document, so nothing that
 grows with the vocabulary is broadcast or collected.
@@ -35,8 +34,7 @@ from quern.llm.common import Shared, discard, fold, mapped, materialize, table
 STATES = 8
 TOP, HEAD, CLASSES = 20_000, 200_000, 256
 HEAD_BYTES = 64  # of a word in the head, which is broadcast: HEAD * HEAD_BYTES bytes at most
-SHARE, SHARE_LEAST, SHARE_ROUNDS = 16, 500, 12  # first rounds: over one document in SHARE, unless that leaves fewer than SHARE_LEAST
-ROUNDS, TOLERANCE = 2, 5e-3  # rounds over all training texts, fewer when the log-likelihood rises by less than this share
+ROUNDS, TOLERANCE = 12, 1.25e-3  # rounds over all training texts, fewer when the log-likelihood rises by less than this share
 SEGMENT = 1024  # tokens that one step of the recursion's layout may hold of a text; longer texts are several segments
 BATCH_TOKENS = 500_000
 PIECE = 2 << 20  # bytes of text that are split at a time
@@ -360,7 +358,7 @@ def baum_welch(training: DataFrame, model: Model, prior: np.ndarray, rounds: int
     return model, seen
 
 
-def train_and_score(docs: DataFrame, train: Column, text: str = "text", k: int = STATES, rounds: int = ROUNDS, top: int = TOP, head: int = HEAD, share: int = SHARE) -> DataFrame:
+def train_and_score(docs: DataFrame, train: Column, text: str = "text", k: int = STATES, rounds: int = ROUNDS, top: int = TOP, head: int = HEAD) -> DataFrame:
     """docs without the text, with n_tokens, n_known, train_tokens, base_score and score; `train` marks training rows."""
     spark = docs.sparkSession
     others = [c for c in docs.columns if c != text]
@@ -397,12 +395,9 @@ def train_and_score(docs: DataFrame, train: Column, text: str = "text", k: int =
     numbered = slim.select(F.monotonically_increasing_id().alias("uid"), "text", "train", "kept")
     schema = T.StructType([*_ENCODED.fields, *[numbered.schema[c] for c in ("train", "kept")]])
     encoded = materialize(mapped(numbered, _encode(coder), schema), "hmm-encoded", row_group=ROW_GROUP)
-    training = encoded.filter("train").select("uid", "symbols")
-    part = max(1, min(share, n_docs // SHARE_LEAST))
-    few = materialize(training.filter(F.pmod(F.xxhash64("uid"), F.lit(part)) == 0).select("symbols"), "hmm-share")
+    training = encoded.filter("train").select("symbols")
     model = initial(prior, k)
     if n_docs:
-        model, _ = baum_welch(few, model, prior, SHARE_ROUNDS, 50.0 / part, TOLERANCE / 4)
         model, _ = baum_welch(training, model, prior, rounds)
     final = Shared(spark, (model.start, model.move, model.emit))
     sequence = mapped(encoded.select("uid", "symbols"), _scored(final), "uid long, sequence double")
@@ -421,7 +416,7 @@ def train_and_score(docs: DataFrame, train: Column, text: str = "text", k: int =
         (F.col("sequence") + F.col("rare_head") + tail_log).alias("score"),
     )
     done = materialize(out, "hmm-scores")  # without the texts, so small
-    for table_ in (counts, encoded, few):
+    for table_ in (counts, encoded):
         discard(table_)
     return done
 

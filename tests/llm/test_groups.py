@@ -409,6 +409,19 @@ def test_long_words_are_counted_outside_the_head(spark, monkeypatch):
         assert abs(r["base_score"] - sum(math.log10((c[w] + 1) / (n + v + 1)) for w in own)) < 1e-9 and math.isfinite(r["score"])
 
 
+def test_every_round_reads_all_training_texts(spark, monkeypatch):
+    read = []
+
+    def rounds(training, model, prior, *rest, **how):
+        read.append(training.count())
+        return model, []
+
+    monkeypatch.setattr(hm, "baum_welch", rounds)
+    docs = spark.range(0, 1500, 1, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b w"), F.col("id") % 9).alias("text"))
+    assert hm.train_and_score(docs, F.col("doc_id") < 1200).count() == 1500
+    assert read and set(read) == {1200}
+
+
 def test_scores_sum_to_at_most_one(spark):
     """All texts of up to two words over the known words, and one unknown."""
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "b a a", "c", ""] * 3)], "doc_id long, text string")
